@@ -31,7 +31,7 @@ def url_path(url: Column) -> Column:
 
 def _collapse_dots(path: Column) -> Column:
     """Resolve ``.`` and ``..`` segments of an absolute path."""
-    segments = F.slice(F.split(path, "/"), 2, 2_147_483_647)
+    segments = F.split(F.regexp_replace(path, "^/", ""), "/")
     kept = F.aggregate(
         segments,
         F.array().cast("array<string>"),

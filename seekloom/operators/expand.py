@@ -81,7 +81,8 @@ def nearest_words(tokens: DataFrame, vectors: DataFrame, n: int, max_bytes: int
     if n < 1:
         return tokens.sparkSession.createDataFrame([], _NEIGHBOURS + ", rank int")
     unit = unit_vectors(vectors)
-    wanted = unit.join(tokens.select(F.col("token").alias("word")).distinct(), "word", "left_semi")
+    names = tokens.select(F.col("token").alias("name")).distinct()
+    wanted = unit.join(names, F.col("word") == F.col("name"), "left_semi")
     size = wanted.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("vector") * 8), F.lit(0)).alias("bytes")).first()
     if size["n"] == 0:
         return tokens.sparkSession.createDataFrame([], _NEIGHBOURS + ", rank int")
@@ -114,17 +115,19 @@ def _near_by_blocks(wanted: DataFrame, unit: DataFrame, n: int, token_blocks: in
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
     left = wanted.withColumn("tb", block("word", token_blocks)).withColumn("wb", copies(word_blocks))
-    right = unit.withColumn("wb", block("word", word_blocks)).withColumn("tb", copies(token_blocks))
+    right = unit.select(
+        F.col("word").alias("other"), F.col("vector").alias("values"), block("word", word_blocks).alias("other_wb")
+    ).withColumn("other_tb", copies(token_blocks))
 
     def compare(tokens: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         if not len(tokens) or not len(words):
             return pd.DataFrame({"token": [], "word": [], "cos": []})
         return _best(
-            list(tokens["word"]), np.stack(tokens["vector"]), words["word"].to_numpy(), np.stack(words["vector"]), n
+            list(tokens["word"]), np.stack(tokens["vector"]), words["other"].to_numpy(), np.stack(words["values"]), n
         )
 
-    keys = ("tb", "wb")
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, _NEIGHBOURS)
+    by_block = right.groupBy("other_tb", "other_wb")
+    return left.groupBy("tb", "wb").cogroup(by_block).applyInPandas(compare, _NEIGHBOURS)
 
 
 def normalize_neighbours(neighbours: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:

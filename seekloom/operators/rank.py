@@ -41,9 +41,13 @@ def term_scores(postings: DataFrame, n: Column, config: SearchConfig = SearchCon
 
 
 def document_scores(postings: DataFrame, n: Column, config: SearchConfig = SearchConfig()) -> DataFrame:
-    """``(query_id, doc_id, score)``. Window and sum share one shuffle."""
+    """``(query_id, doc_id, score)``. Window and sum share one shuffle.
+
+    Scores are rounded far below what matters, so that equal documents tie whatever
+    the order in which their parts were added.
+    """
     parts = term_scores(postings, n, config)
-    return parts.groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
+    return parts.groupBy("query_id", "doc_id").agg(F.round(F.sum("part"), 10).alias("score"))
 
 
 def top_ranked(scores: DataFrame, limit: int) -> DataFrame:

@@ -87,7 +87,9 @@ def crawl(
 
         last = batch.orderBy(F.desc("round"), F.desc("seq")).first()
         waiting = queue.join(F.broadcast(batch.select("url")) if size <= 100_000 else batch.select("url"), "url", "left_anti")
-        held_back = F.struct("round", "seq") < F.struct(F.lit(last["round"]), F.lit(last["seq"]))
+        held_back = (F.col("round") < last["round"]) | (
+            (F.col("round") == last["round"]) & (F.col("seq") < last["seq"])
+        )
         found = lookup_join(
             web.edges.withColumnRenamed("src", "url"), passed.select("url", "round", "seq"), ["url"], "inner"
         ).select(F.col("dst").alias("url"), "round", "seq", "pos")
