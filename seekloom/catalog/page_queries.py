@@ -154,8 +154,7 @@ _DETECTED = (
 
 @query("detected_languages", f"SELECT doc_id, lang, detected FROM {_DETECTED}")
 def detected_languages(spark: SparkSession, folder: str) -> DataFrame:
-    words = documents(spark, folder).select("doc_id", "lang", lg.language_words(F.col("text")).alias("words"))
-    return words.select("doc_id", "lang", lg.detected_language(F.col("words")).alias("detected"))
+    return documents(spark, folder).select("doc_id", "lang", lg.detected_language(F.col("text")).alias("detected"))
 
 
 _PAGE_FACTS = (
@@ -174,9 +173,9 @@ _IN_LANGUAGE = (
 @query("pages_in_language", f"WITH {_PAGE_FACTS} SELECT page_id FROM facts WHERE {_IN_LANGUAGE}")
 def pages_in_language(spark: SparkSession, folder: str) -> DataFrame:
     parsed = hw.parse_pages(pages(spark, folder), "lang", "xml_lang", "page_text")
-    staged = parsed.withColumn("words", lg.language_words(F.col("page_text")))
-    kept = fl.in_language(F.col("lang"), F.col("xml_lang"), F.col("link"), lg.detected_language(F.col("words")))
-    return staged.where(kept).select("page_id")
+    detected = lg.detected_language(F.col("page_text"))
+    kept = fl.in_language(F.col("lang"), F.col("xml_lang"), F.col("link"), detected)
+    return parsed.where(kept).select("page_id")
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from seekloom.plans.build import build_index, titles_and_links
 from seekloom.session import new_folder
 from seekloom.sources.index_store import Index
+from seekloom.sources.pages import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,12 +39,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"))
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """``(page_id, link, html)``."""
-    return table(spark, folder, "pages").select("page_id", F.col("url").alias("link"), "html")
+    return spread(table(spark, folder, "pages").select("page_id", F.col("url").alias("link"), "html"))
 
 
 def user_queries(spark: SparkSession, folder: str) -> DataFrame:

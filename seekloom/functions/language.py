@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from seekloom import fixed_values as fv
+from seekloom.functions.binding import let
 
 
 def language_words(text: Column) -> Column:
@@ -24,7 +25,7 @@ def language_scores(words: Column, profiles: dict[str, tuple[str, ...]] = fv.LAN
     ]
 
 
-def detected_language(words: Column, profiles: dict[str, tuple[str, ...]] = fv.LANGUAGE_PROFILES) -> Column:
+def detected_language(text: Column, profiles: dict[str, tuple[str, ...]] = fv.LANGUAGE_PROFILES) -> Column:
     """The language with most hits, the alphabetically last on a tie; null for none."""
-    best = F.array_max(F.array(*language_scores(words, profiles)))
-    return F.when(best["hits"] > 0, best["lang"])
+    best = let(language_words(text), lambda words: F.array_max(F.array(*language_scores(words, profiles))))
+    return let(best, lambda b: F.when(b["hits"] > 0, b["lang"]))

@@ -6,20 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from seekloom import fixed_values as fv
+from seekloom.functions.binding import let
 from seekloom.functions.text import remove_unicode
 
 
 def summary_input(text: Column, max_chars: int = 512) -> Column:
     """What a summariser gets to see; null where there is too little of it."""
     head = F.substring(F.coalesce(text, F.lit("")), 1, max_chars)
-    return F.when(F.length(head) >= 40, remove_unicode(head))
+    return let(head, lambda h: F.when(F.length(h) >= 40, remove_unicode(h)))
 
 
 def limit_words(text: Column, max_words: int = 20) -> Column:
     """The first words, with ``...`` where there were more; a message for no text."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    cut = F.array_join(F.slice(words, 1, max_words), " ")
-    marked = F.concat(cut, F.when(F.size(words) > max_words, "...").otherwise(""))
+
+    def cut(words: Column) -> Column:
+        head = F.array_join(F.slice(words, 1, max_words), " ")
+        return F.concat(head, F.when(F.size(words) > max_words, "...").otherwise(""))
+
+    marked = let(F.filter(F.split(text, r"\s+"), lambda w: w != ""), cut)
     return F.when(F.coalesce(text, F.lit("")) == "", fv.NO_TEXT_MESSAGE).otherwise(marked)
 
 

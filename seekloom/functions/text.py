@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from seekloom import fixed_values as fv
 from seekloom.config import IndexConfig
+from seekloom.functions.binding import let
 
 NON_ASCII = r"[^\x00-\x7F]"
 
@@ -180,12 +181,9 @@ def analyze(c: Column, config: IndexConfig = IndexConfig()) -> Column:
 
 
 def capped_tokens(text: Column, config: IndexConfig = IndexConfig()) -> Column:
-    """Tokens of a document; none if its text or its token list is over the cap.
+    """Tokens of a document; null if its text or its token list is over the cap.
 
-    The text is analysed only where it is within the cap.
+    The text is analysed only where it is within the cap, and once.
     """
-    return F.when(F.length(text) <= config.max_chars, analyze(text, config))
-
-
-def within_token_cap(tokens: Column, config: IndexConfig = IndexConfig()) -> Column:
-    return F.size(tokens).between(1, config.max_tokens)
+    tokens = F.when(F.length(text) <= config.max_chars, analyze(text, config))
+    return let(tokens, lambda t: F.when(F.size(t) <= config.max_tokens, t))

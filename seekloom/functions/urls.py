@@ -38,9 +38,12 @@ def _collapse_dots(path: Column) -> Column:
         lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
         .when(s == ".", acc)
         .otherwise(F.concat(acc, F.array(s))),
+        # A path that ends in a dot segment names a folder.
+        lambda acc: F.concat(
+            F.array_join(acc, "/"), F.when(path.rlike(r"/\.\.?$") & (F.size(acc) > 0), "/").otherwise("")
+        ),
     )
-    tail = F.when(path.rlike(r"(?:^|/)\.\.?$") & (F.size(kept) > 0), "/").otherwise("")
-    return F.concat(F.lit("/"), F.array_join(kept, "/"), tail)
+    return F.concat(F.lit("/"), kept)
 
 
 def resolve_link(base: Column, link: Column) -> Column:
@@ -49,11 +52,11 @@ def resolve_link(base: Column, link: Column) -> Column:
     Links that start with ``/`` or ``../`` are resolved against the base URL, not
     the page's own path; ``//host/x`` takes the scheme only. Others stay as they are.
     """
-    path = F.regexp_extract(link, r"^([^?]*)", 1)
-    query = F.regexp_replace(F.substr(link, F.length(path) + 1), r"^\?$", "")
-    absolute = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
-    resolved = F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), _collapse_dots(absolute)).otherwise(absolute)
     scheme = F.regexp_extract(base, r"^([^:]+):", 1)
+    path = F.regexp_extract(link, r"^/*([^?]*)", 1)
+    rooted = F.concat(F.lit("/"), path)
+    query = F.regexp_extract(link, r"^[^?]*(\?.+)$", 1)
+    resolved = F.when(link.rlike(r"^[^?]*/\.\.?(?:[/?]|$)|^\.\./"), _collapse_dots(rooted)).otherwise(rooted)
     return (
         F.when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/") | link.startswith("../"), F.concat(base, resolved, query))

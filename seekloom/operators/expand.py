@@ -22,7 +22,8 @@ def query_tokens(queries: DataFrame, config: IndexConfig = IndexConfig(), lemmas
     tokens = (
         queries.where(F.trim("text") != "")
         .select("query_id", analyze(F.col("text"), config).alias("tokens"))
-        .select("query_id", F.posexplode("tokens").alias("pos", "token"))
+        .select("query_id", F.posexplode_outer("tokens").alias("pos", "token"))
+        .where(F.col("token").isNotNull())
     )
     return tokens if lemmas is None else lemmatize(tokens, lemmas, "token", "query_id")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seekloom import fixed_values as fv
 from seekloom.config import CrawlConfig
 from seekloom.functions import urls
-from seekloom.functions.language import detected_language, language_words
+from seekloom.functions.language import detected_language
 
 
 def has_text(text: Column) -> Column:
@@ -66,12 +66,7 @@ def with_reject_reason(parsed: DataFrame, config: CrawlConfig = CrawlConfig(), u
     if "allowed" not in parsed.columns:
         parsed = parsed.withColumn("allowed", F.lit(True))
     link = F.col(url)
-    staged = (
-        parsed.withColumn("text", F.lower("page_text"))
-        .withColumn("_words", language_words(F.col("text")))
-        .withColumn("detected", detected_language(F.col("_words")))
-        .drop("_words")
-    )
+    staged = parsed.withColumn("text", F.lower("page_text")).withColumn("detected", detected_language(F.col("text")))
     language = in_language(F.col("lang"), F.col("xml_lang"), link, F.col("detected"), config.languages)
     reason = F.coalesce(
         url_reject_reason(link, F.col("allowed"), config),

@@ -9,6 +9,7 @@ from seekloom import fixed_values as fv
 from seekloom.functions import urls
 from seekloom.operators.joins import without_stored
 from seekloom.operators.ordering import first_rows
+from seekloom.session import cut_lineage
 
 
 
@@ -26,18 +27,24 @@ def link_edges(hrefs: DataFrame, suffixes: tuple[str, ...] = fv.FILE_SUFFIXES) -
     return resolved.where(urls.is_eligible(F.col("dst"), suffixes))
 
 
-def new_links(found: DataFrame, *known: DataFrame) -> DataFrame:
-    """Links found, once each, that none of the known tables ``(url, ...)`` holds.
-
-    The earliest place of a link counts: ``found(url, *order)`` keeps its order columns.
-    """
+def earliest_links(found: DataFrame) -> DataFrame:
+    """``found(url, *order)`` with each link once, at its earliest place."""
     order = [c for c in found.columns if c != "url"]
-    fresh = found.groupBy("url").agg(F.min(F.struct(*order)).alias("at")) if order else found.distinct()
-    if order:
-        fresh = fresh.select("url", *[F.col(f"at.{c}").alias(c) for c in order])
-    for table in known:
-        fresh = without_stored(fresh, table, "url")
-    return fresh
+    if not order:
+        return found.distinct()
+    first = found.groupBy("url").agg(F.min(F.struct(*order)).alias("at"))
+    return first.select("url", *[F.col(f"at.{c}").alias(c) for c in order])
+
+
+def new_links(found: DataFrame, *known: DataFrame) -> DataFrame:
+    """Links found, once each, that none of the known tables ``(url, ...)`` holds."""
+    fresh = earliest_links(found)
+    if not known:
+        return fresh
+    seen = known[0].select("url")
+    for table in known[1:]:
+        seen = seen.unionByName(table.select("url"))
+    return without_stored(cut_lineage(fresh), seen, "url")
 
 
 def within_host_cap(frontier: DataFrame, per_host: int) -> DataFrame:

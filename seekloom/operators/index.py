@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from seekloom import fixed_values as fv
 from seekloom.config import IndexConfig
-from seekloom.functions.text import capped_tokens, within_token_cap
+from seekloom.functions.binding import let
+from seekloom.functions.text import capped_tokens
 
 
 def hash_id(key: Column) -> Column:
@@ -35,15 +36,14 @@ def ids_by_link(links: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def document_tokens(texts: DataFrame, config: IndexConfig = IndexConfig()) -> DataFrame:
-    """``texts(doc_id, text)`` -> ``(doc_id, tokens)`` of the documents within the caps."""
-    return texts.select("doc_id", capped_tokens(F.col("text"), config).alias("tokens")).where(
-        within_token_cap(F.col("tokens"), config)
-    )
+    """``texts(doc_id, text)`` -> ``(doc_id, tokens)``; null tokens over the caps."""
+    return texts.select("doc_id", capped_tokens(F.col("text"), config).alias("tokens"))
 
 
 def token_rows(doc_tokens: DataFrame) -> DataFrame:
     """One row per token occurrence: ``(doc_id, pos, token)``."""
-    return doc_tokens.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+    rows = doc_tokens.select("doc_id", F.posexplode_outer("tokens").alias("pos", "token"))
+    return rows.where(F.col("token").isNotNull())
 
 
 def term_frequencies(doc_tokens: DataFrame) -> DataFrame:
@@ -52,28 +52,22 @@ def term_frequencies(doc_tokens: DataFrame) -> DataFrame:
     A document is one row, and its tokens are capped, so its words are counted in
     place: sort the tokens and take the lengths of equal runs.
     """
-    ordered = doc_tokens.select("doc_id", F.sort_array("tokens").alias("t"))
-    starts = ordered.select(
-        "doc_id",
-        "t",
-        F.filter(
-            F.sequence(F.lit(0), F.size("t") - 1),
-            lambda i: (i == 0) | (F.get(F.col("t"), i) != F.get(F.col("t"), i - 1)),
-        ).alias("starts"),
-    )
-    runs = starts.select(
-        "doc_id",
-        F.explode(
-            F.transform(
-                "starts",
-                lambda start, j: F.struct(
-                    F.get(F.col("t"), start).alias("word"),
-                    (F.coalesce(F.get(F.col("starts"), j + 1), F.size("t")) - start).cast("long").alias("tf"),
-                ),
-            )
-        ).alias("run"),
-    )
-    return runs.select("run.word", "doc_id", "run.tf")
+
+    def run_starts(t: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(t) - 1)
+        return F.when(F.size(t) > 0, F.filter(places, lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1))))
+
+    def runs(t: Column, starts: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda start, j: F.struct(
+                F.get(t, start).alias("word"),
+                (F.coalesce(F.get(starts, j + 1), F.size(t)) - start).cast("long").alias("tf"),
+            ),
+        )
+
+    counted = let(F.sort_array("tokens"), lambda t: let(run_starts(t), lambda starts: runs(t, starts)))
+    return doc_tokens.select("doc_id", F.explode(counted).alias("run")).select("run.word", "doc_id", "run.tf")
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
     """Upper estimate of a row's size from its actual strings and arrays."""
     size = F.lit(16)
     for field in df.schema.fields:
@@ -31,7 +31,7 @@ def _row_bytes(df: DataFrame) -> Column:
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of all rows of a table; one small aggregate reaches the driver."""
-    return df.agg(F.coalesce(F.sum(_row_bytes(df).cast("long")), F.lit(0)).alias("n")).first()["n"]
+    return df.agg(F.coalesce(F.sum(row_bytes(df).cast("long")), F.lit(0)).alias("n")).first()["n"]
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -46,15 +46,19 @@ def lookup_join(
     salt_by: Column | None = None,
     max_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a large table with a lookup table on equal keys.
 
     ``how`` is one that keeps the large side: inner, left, left_semi or left_anti.
-    ``salt_by`` is a column of the large table that varies within a key.
+    ``salt_by`` is a column of the large table that varies within a key. ``small``
+    tells the outcome of an earlier measurement; without it the table is measured.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join cannot keep the large side for a {how} join")
-    if fits_broadcast(lookup, max_bytes):
+    if small is None:
+        small = fits_broadcast(lookup, max_bytes)
+    if small:
         return large.join(F.broadcast(lookup), on, how)
     if salt_by is None:
         return large.join(lookup, on, how)
@@ -63,14 +67,22 @@ def lookup_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def without_stored(new_rows: DataFrame, stored: DataFrame, key: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def without_stored(
+    new_rows: DataFrame,
+    stored: DataFrame,
+    key: str,
+    max_bytes: int = BROADCAST_BYTES,
+    small: bool | None = None,
+) -> DataFrame:
     """New rows whose key is not stored yet.
 
     With few new rows, their keys go to the stored table's scan and only the
     matches come back, so the large stored table is not shuffled.
     """
     keys = new_rows.select(key)
-    if fits_broadcast(keys, max_bytes):
+    if small is None:
+        small = fits_broadcast(keys, max_bytes)
+    if small:
         known = stored.select(key).join(F.broadcast(keys.distinct()), key, "left_semi").distinct()
         return new_rows.join(known, key, "left_anti")
     return new_rows.join(stored.select(key), key, "left_anti")

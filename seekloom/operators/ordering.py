@@ -42,4 +42,6 @@ def first_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """The first ``n`` rows of a total order."""
     if n <= SMALL_LIMIT:
         return df.orderBy(*order).limit(n)
+    if df.count() <= n:
+        return df
     return with_position(df, *order, name="_position").where(F.col("_position") < n).drop("_position")

@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seekloom.config import SearchConfig
-from seekloom.operators.joins import BROADCAST_BYTES, lookup_join
+from seekloom.operators.joins import lookup_join
 
 
-def postings_of(terms: DataFrame, tf: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Terms with the postings ``(doc_id, tf)`` of their word."""
-    return lookup_join(tf, terms, ["word"], "inner", F.col("doc_id"), max_bytes)
+def postings_of(terms: DataFrame, tf: DataFrame, small: bool | None = None) -> DataFrame:
+    """Terms with the postings ``(doc_id, tf)`` of their word.
+
+    ``small`` says whether the terms are known to be few; else they are measured.
+    """
+    return lookup_join(tf, terms, ["word"], "inner", F.col("doc_id"), small=small)
 
 
-def idf_of(terms: DataFrame, idf: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def idf_of(terms: DataFrame, idf: DataFrame, small: bool | None = None) -> DataFrame:
     """Terms with the idf of their word; words that are not indexed vanish."""
-    return lookup_join(idf.select("word", "idf"), terms, ["word"], "inner", None, max_bytes)
+    return lookup_join(idf.select("word", "idf"), terms, ["word"], "inner", small=small)
 
 
 def term_score(idf: Column, tf: Column, matched: Column, n: Column, config: SearchConfig = SearchConfig()) -> Column:
@@ -41,18 +44,23 @@ def term_scores(postings: DataFrame, n: Column, config: SearchConfig = SearchCon
 
 
 def document_scores(postings: DataFrame, n: Column, config: SearchConfig = SearchConfig()) -> DataFrame:
-    """``(query_id, doc_id, score)``. Window and sum share one shuffle.
+    """``(query_id, doc_id, score)``. Window and sum share one shuffle."""
+    parts = term_scores(postings, n, config)
+    return parts.groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
 
-    Scores are rounded far below what matters, so that equal documents tie whatever
-    the order in which their parts were added.
+
+def result_order() -> list[Column]:
+    """Best score first, then the document.
+
+    Scores are compared rounded far below what matters, so that equal documents tie
+    whatever the order in which their parts were added.
     """
-    parts = term_scores(postings, n, config)
-    return parts.groupBy("query_id", "doc_id").agg(F.round(F.sum("part"), 10).alias("score"))
+    return [F.desc(F.round("score", 10)), F.col("doc_id")]
 
 
 def top_ranked(scores: DataFrame, limit: int) -> DataFrame:
     """The best documents of each query with their rank; each task keeps at most ``limit``."""
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    best = Window.partitionBy("query_id").orderBy(*result_order())
     return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= limit)
 
 
@@ -63,4 +71,4 @@ def ranked_results(ranked: DataFrame, documents: DataFrame, small: bool = False)
     the documents' scan instead of shuffling the documents.
     """
     results = documents.join(F.broadcast(ranked) if small else ranked, "doc_id")
-    return results.orderBy("query_id", F.desc("score"), "doc_id")
+    return results.orderBy("query_id", "rank")

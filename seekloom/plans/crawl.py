@@ -13,7 +13,7 @@ from seekloom.functions import urls
 from seekloom.operators import frontier as fr
 from seekloom.operators.filters import url_reject_reason, with_reject_reason
 from seekloom.operators.html import parse_pages
-from seekloom.operators.joins import lookup_join, without_stored
+from seekloom.operators.joins import BROADCAST_BYTES, lookup_join, row_bytes, without_stored
 from seekloom.operators.robots import robots_rules, with_robots
 from seekloom.session import cut_lineage, new_folder
 from seekloom.sources.crawl_state import CrawlState
@@ -38,10 +38,11 @@ def survey_pages(pages: DataFrame, config: CrawlConfig = CrawlConfig()) -> Web:
     return Web(facts.select(F.col("link").alias("url"), "reason"), cut_lineage(edges))
 
 
-def _visit(batch: DataFrame, web: Web, rules: DataFrame | None, config: CrawlConfig) -> DataFrame:
+def _visit(batch: DataFrame, web: Web, rules: DataFrame | None, config: CrawlConfig, small: bool) -> DataFrame:
     """``(url, round, seq, reason)`` of a batch; a URL without a page is empty."""
     checked = batch.withColumn("allowed", F.lit(True)) if rules is None else with_robots(batch, rules)
-    found = lookup_join(web.verdicts.withColumn("found", F.lit(True)), batch.select("url"), ["url"], "inner")
+    verdicts = web.verdicts.withColumn("found", F.lit(True))
+    found = lookup_join(verdicts, batch.select("url"), ["url"], "left_semi", small=small)
     reason = F.coalesce(
         url_reject_reason(F.col("url"), F.col("allowed"), config),
         F.when(F.col("found").isNull(), "empty").otherwise(F.col("reason")),
@@ -75,25 +76,34 @@ def crawl(
     hop = state.frontier.agg(F.coalesce(F.max("round"), F.lit(0)).alias("r")).first()["r"]
     for step in range(config.max_hops):
         size = min(config.batch_size, fr.room_left(config.max_pages, done))
-        batch = cut_lineage(fr.next_batch(fr.within_host_cap(queue, config.per_host), size)) if size else None
-        if batch is None or batch.isEmpty():
+        if size == 0:
             break
+        batch = cut_lineage(fr.next_batch(fr.within_host_cap(queue, config.per_host), size))
+        facts = batch.agg(
+            F.count("*").alias("n"),
+            F.sum(row_bytes(batch).cast("long")).alias("bytes"),
+            F.max(F.struct("round", "seq")).alias("last"),
+        ).first()
+        if facts["n"] == 0:
+            break
+        small = facts["bytes"] <= BROADCAST_BYTES
         folder = f"{visited_path}/hop={step}"
-        _visit(batch, web, rules, config).write.parquet(folder)
-        seen = spark.read.schema("url string, round int, seq bigint, reason string").parquet(folder)
-        passed = seen.where(F.col("reason").isNull())
+        _visit(batch, web, rules, config, small).write.parquet(folder)
+        visited = spark.read.schema("url string, round int, seq bigint, reason string").parquet(folder)
+        passed = visited.where(F.col("reason").isNull()).select("url", "round", "seq")
         done += passed.count()
         known = spark.read.schema(_VISITED).parquet(visited_path).select("url", "reason")
 
-        last = batch.orderBy(F.desc("round"), F.desc("seq")).first()
-        waiting = queue.join(F.broadcast(batch.select("url")) if size <= 100_000 else batch.select("url"), "url", "left_anti")
+        links = web.edges.withColumnRenamed("src", "url")
+        found = lookup_join(links, passed, ["url"], "inner", small=small).select(
+            F.col("dst").alias("url"), "round", "seq", "pos"
+        )
+        fresh = fr.new_links(found, known, queue)
+        waiting = queue.join(F.broadcast(batch.select("url")) if small else batch.select("url"), "url", "left_anti")
+        last = facts["last"]
         held_back = (F.col("round") < last["round"]) | (
             (F.col("round") == last["round"]) & (F.col("seq") < last["seq"])
         )
-        found = lookup_join(
-            web.edges.withColumnRenamed("src", "url"), passed.select("url", "round", "seq"), ["url"], "inner"
-        ).select(F.col("dst").alias("url"), "round", "seq", "pos")
-        fresh = fr.new_links(found, known, queue)
         hop += 1
         appended = (
             waiting.where(held_back)

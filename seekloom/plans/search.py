@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,55 +12,81 @@ from seekloom.config import IndexConfig, SearchConfig
 from seekloom.operators import index as ix
 from seekloom.operators import rank as rk
 from seekloom.operators.expand import distinct_query_tokens, expanded_terms, query_tokens
-from seekloom.operators.joins import BROADCAST_BYTES, measured_bytes
+from seekloom.operators.joins import BROADCAST_BYTES, lookup_join, row_bytes
 from seekloom.operators.ordering import with_position
 from seekloom.session import cut_lineage
 from seekloom.sources.index_store import Index
 
-_FEW_WORDS = 1_000
+_FEW_BYTES = 64 * 1024
 _RANKED_ROW_BYTES = 64
 
 
-def _index_slice(index: Index, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+@dataclass(frozen=True)
+class TermFacts:
+    """What is measured of the terms once, and decides how the index is read."""
+
+    small: bool
+    n_queries: int
+    buckets: list[int] | None
+    words: list[str] | None
+
+
+def measure_terms(terms: DataFrame, buckets: int | None) -> TermFacts:
+    """Size, number of queries, touched buckets, and the words if they are few."""
+    bucketed = terms if buckets is None else ix.with_bucket(terms, buckets)
+    measures = [F.sum(row_bytes(terms).cast("long")).alias("bytes"), F.count_distinct("query_id").alias("n_queries")]
+    if buckets is not None:
+        measures.append(F.collect_set("word_bucket").alias("buckets"))
+    facts = bucketed.agg(*measures).first()
+    size = facts["bytes"] or 0
+    words = None
+    if size <= _FEW_BYTES:
+        words = [r["word"] for r in terms.select("word").distinct().collect()]
+    return TermFacts(size <= BROADCAST_BYTES, facts["n_queries"], facts["buckets"] if buckets else None, words)
+
+
+def _index_slice(index: Index, facts: TermFacts) -> tuple[DataFrame, DataFrame]:
     """Postings and frequencies narrowed to what the terms can touch.
 
     Buckets, and the words where they are few, become literals: unneeded
     directories and row groups are then skipped by the scans.
     """
     tf, idf = index.tf, index.idf
-    words = terms.select("word").distinct().limit(_FEW_WORDS + 1).collect()
-    if len(words) <= _FEW_WORDS:
-        names = [r["word"] for r in words]
-        tf, idf = tf.where(F.col("word").isin(names)), idf.where(F.col("word").isin(names))
-    if index.buckets:
-        rows = ix.with_bucket(terms, index.buckets).select("word_bucket").distinct().collect()
-        tf = tf.where(F.col("word_bucket").isin([r["word_bucket"] for r in rows]))
+    if facts.buckets is not None:
+        tf = tf.where(F.col("word_bucket").isin(facts.buckets))
+    if facts.words is not None:
+        tf, idf = tf.where(F.col("word").isin(facts.words)), idf.where(F.col("word").isin(facts.words))
     return tf.select("word", "doc_id", "tf"), idf
 
 
-def score_terms(index: Index, terms: DataFrame, config: SearchConfig = SearchConfig()) -> DataFrame:
+def score_terms(
+    index: Index, terms: DataFrame, config: SearchConfig = SearchConfig(), facts: TermFacts | None = None
+) -> DataFrame:
     """``terms(query_id, word, weight)`` -> ``(query_id, doc_id, score)`` of all matches."""
-    tf, idf = _index_slice(index, terms)
-    found = rk.postings_of(rk.idf_of(terms, idf), tf)
+    facts = facts or measure_terms(terms, index.buckets)
+    tf, idf = _index_slice(index, facts)
+    found = rk.postings_of(rk.idf_of(terms, idf, facts.small), tf, facts.small)
     return rk.document_scores(found, index.size.scalar(), config)
 
 
-def search_terms(index: Index, terms: DataFrame, config: SearchConfig = SearchConfig()) -> DataFrame:
+def search_terms(
+    index: Index, terms: DataFrame, config: SearchConfig = SearchConfig(), facts: TermFacts | None = None
+) -> DataFrame:
     """Ranked results for weighted terms.
 
     With a limit, each query gets its best documents. Without one, all matches are
     ranked; positions then come from one range sort over all queries.
     """
-    scores = score_terms(index, terms, config)
+    facts = facts or measure_terms(terms, index.buckets)
+    scores = score_terms(index, terms, config, facts)
     if config.limit is None:
-        ordered = with_position(scores, F.col("query_id"), F.desc("score"), F.col("doc_id"))
+        ordered = with_position(cut_lineage(scores), F.col("query_id"), *rk.result_order())
         first = ordered.groupBy("query_id").agg(F.min("position").alias("first"))
-        ranked = ordered.join(first, "query_id").select(
+        ranked = lookup_join(ordered, first, ["query_id"], "inner", F.col("doc_id")).select(
             "query_id", "doc_id", "score", (F.col("position") - F.col("first") + 1).alias("rank")
         )
         return rk.ranked_results(ranked, index.documents)
-    n_queries = terms.agg(F.count_distinct("query_id").alias("n")).first()["n"]
-    small = n_queries * config.limit * _RANKED_ROW_BYTES <= BROADCAST_BYTES
+    small = facts.n_queries * config.limit * _RANKED_ROW_BYTES <= BROADCAST_BYTES
     return rk.ranked_results(rk.top_ranked(scores, config.limit), index.documents, small)
 
 
@@ -88,9 +116,16 @@ def search_one(
     config: SearchConfig = SearchConfig(),
     index_config: IndexConfig = IndexConfig(),
 ) -> DataFrame:
-    """Ranked documents for one query."""
+    """Ranked documents for one query.
+
+    Its terms are no more than the query holds, so they go through the driver.
+    """
     queries = spark.createDataFrame([(1, text)], schemas.QUERIES)
-    return search(index, queries, vectors, lemmas, config, index_config)
+    planned = expanded_terms(queries, vectors, lemmas, config, index_config)
+    rows = planned.collect()
+    words = sorted({r["word"] for r in rows})
+    terms = spark.createDataFrame(rows, planned.schema)
+    return search_terms(index, terms, config, TermFacts(True, 1, None, words))
 
 
 def search_texts(texts: DataFrame, queries: DataFrame, config: SearchConfig = SearchConfig()) -> DataFrame:
@@ -103,11 +138,11 @@ def search_texts(texts: DataFrame, queries: DataFrame, config: SearchConfig = Se
             "query_id", F.col("token").alias("word"), F.lit(1.0).alias("weight")
         )
     )
-    wanted = terms.select("word").distinct()
+    facts = measure_terms(terms, None)
     tf = ix.term_frequencies(ix.document_tokens(texts))
-    small = measured_bytes(wanted) <= BROADCAST_BYTES
-    held = cut_lineage(tf.join(F.broadcast(wanted) if small else wanted, "word", "left_semi"))
+    wanted = terms.select("word").distinct()
+    held = cut_lineage(lookup_join(tf, wanted, ["word"], "left_semi", F.col("doc_id"), small=facts.small))
     idf = ix.inverse_frequencies(held, texts)
-    found = rk.postings_of(rk.idf_of(terms, idf), held)
+    found = rk.postings_of(rk.idf_of(terms, idf, facts.small), held, facts.small)
     scores = rk.document_scores(found, ix.corpus_size(texts).scalar(), config)
     return scores if config.limit is None else rk.top_ranked(scores, config.limit)

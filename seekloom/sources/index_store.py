@@ -1,8 +1,9 @@
 """Stored index: documents, postings and inverse frequencies.
 
 Postings lie in directories by word hash and are sorted by word in each file, so a
-search reads the directories and row groups of its words only. Files are cut by
-range of word and document: a word that most documents hold spans many files.
+search reads the directories and row groups of its words only. They are shuffled
+once, by directory, and partitions of a directory that grew large, as with a word
+that most documents hold, are split at run time.
 
 Documents and postings are added batch by batch, each into its own directory that
 is overwritten as a whole. Writing a batch again, after a failure, changes nothing.
@@ -47,7 +48,7 @@ def write_documents(documents: DataFrame, path: str, batch: str = BASE) -> None:
 def write_postings(tf: DataFrame, path: str, config: IndexConfig = IndexConfig(), batch: str = BASE) -> None:
     keys = ("word_bucket", "word", "doc_id")
     laid_out = ix.with_bucket(tf.select("word", "doc_id", "tf"), config.word_buckets)
-    laid_out.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(
+    laid_out.hint("rebalance", "word_bucket").sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(
         "word_bucket"
     ).parquet(f"{path}/tf/batch={batch}")
 
@@ -55,7 +56,7 @@ def write_postings(tf: DataFrame, path: str, config: IndexConfig = IndexConfig()
 def write_frequencies(spark: SparkSession, path: str) -> None:
     """Compute idf from what is stored. It depends on all documents, so it is never patched."""
     idf = ix.inverse_frequencies(read_postings(spark, path), read_documents(spark, path))
-    idf.repartitionByRange("word").sortWithinPartitions("word").write.mode("overwrite").parquet(f"{path}/idf")
+    idf.sortWithinPartitions("word").write.mode("overwrite").parquet(f"{path}/idf")
 
 
 def read_documents(spark: SparkSession, path: str, without_batch: str | None = None) -> DataFrame:

@@ -23,6 +23,15 @@ def one_per_link(pages: DataFrame, first_by: Column | None = None) -> DataFrame:
     return best.select("link", *[F.col(f"page.{c}").alias(c) for c in others])
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan of few files out over all cores.
+
+    For work that is heavy per row. A scan with enough partitions stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def write_pages(pages: DataFrame, path: str, stored: DataFrame | None = None, mode: str = "append") -> None:
     """Add the pages whose link is not stored yet."""
     fresh = one_per_link(pages.select("link", "html"))
