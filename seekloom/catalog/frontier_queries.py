@@ -92,7 +92,7 @@ def crawl_state_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_web(spark: SparkSession, folder: str) -> DataFrame:
-    """``(link, html)``: every document as a page that links to three others."""
+    """``(link, html)``: every document as a page that links to five others."""
     texts = documents(spark, folder)
     n = texts.agg(F.count("*").alias("n")).scalar()
     doc = F.col("doc_id")
@@ -111,6 +111,8 @@ def document_web(spark: SparkSession, folder: str) -> DataFrame:
             anchor(doc * 2 + 1),
             anchor(doc * 2 + 2),
             anchor((doc * 7 + 3) % n),
+            anchor((doc * 31 + 11) % n),
+            anchor((doc * 101 + 29) % n),
             F.lit('<a href="#top"></a><a href="/file.pdf"></a></body></html>'),
         ).alias("html"),
     )
@@ -122,7 +124,7 @@ _PASSED = (
     f"(SELECT doc_id, lang, {sql.LANGUAGE_WORDS.format(e='text')} AS w FROM documents)), "
     "seeds AS (SELECT doc_id FROM documents WHERE doc_id % 20 = 0), "
     "reached(doc_id) AS (SELECT doc_id FROM seeds UNION SELECT unnest([r.doc_id * 2 + 1, r.doc_id * 2 + 2, "
-    "(r.doc_id * 7 + 3) % (SELECT count(*) FROM documents)]) FROM reached r JOIN judged j USING (doc_id) WHERE passed)"
+    "(r.doc_id * 7 + 3) % n, (r.doc_id * 31 + 11) % n, (r.doc_id * 101 + 29) % n]) FROM (SELECT count(*) AS n FROM documents), reached r JOIN judged j USING (doc_id) WHERE passed)"
 )
 
 
