@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekloom.catalog import sql
-from seekloom.catalog.registry import documents, pages, query
+from seekloom.catalog.registry import documents, pages, query, table
 from seekloom.config import CrawlConfig
 from seekloom.functions import urls
 from seekloom.operators import frontier as fr
@@ -122,7 +122,7 @@ _LANGUAGES = ("en", "fr")
 _PASSED = (
     f"judged AS (SELECT doc_id, lang IN ('en', 'fr') OR coalesce({sql.detected('w')} IN ('en', 'fr'), false) AS passed FROM "
     f"(SELECT doc_id, lang, {sql.LANGUAGE_WORDS.format(e='text')} AS w FROM documents)), "
-    "seeds AS (SELECT doc_id FROM documents WHERE doc_id % 20 = 0), "
+    "seeds AS (SELECT doc_id FROM documents WHERE source = 'src1'), "
     "reached(doc_id) AS (SELECT doc_id FROM seeds UNION SELECT unnest([r.doc_id * 2 + 1, r.doc_id * 2 + 2, "
     "(r.doc_id * 7 + 3) % n, (r.doc_id * 31 + 11) % n, (r.doc_id * 101 + 29) % n]) FROM (SELECT count(*) AS n FROM documents), reached r JOIN judged j USING (doc_id) WHERE passed)"
 )
@@ -131,7 +131,7 @@ _PASSED = (
 def _crawl(spark: SparkSession, folder: str, **limits) -> CrawlState:
     config = CrawlConfig(languages=_LANGUAGES, required_keywords=("",), blocked_domains=(), **limits)
     web = document_web(spark, folder)
-    seeds = documents(spark, folder).where(F.col("doc_id") % 20 == 0).select(
+    seeds = table(spark, folder, "documents").where(F.col("source") == "src1").select(
         F.concat(F.lit("https://docs.example.org/d/"), "doc_id").alias("url"),
         F.lit(0).alias("round"),
         F.col("doc_id").alias("seq"),

@@ -9,6 +9,9 @@ which gives the same matches in linear time on junk such as encoded blobs.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,12 +64,17 @@ def clean_text(c: Column) -> Column:
 def remove_unicode(c: Column) -> Column:
     """Spell the text in ASCII and drop what has no spelling."""
     single, longer = split_spellings()
-    spelled = c
-    for char, spelling in longer.items():
-        spelled = F.replace(spelled, F.lit(char), F.lit(spelling))
-    spelled = F.when(c.rlike("[" + "".join(longer) + "]"), spelled).otherwise(c)
-    folded = F.translate(spelled, "".join(single), "".join(single.values()))
-    return F.when(c.rlike(NON_ASCII), F.regexp_replace(folded, NON_ASCII, "")).otherwise(c)
+
+    def respell(t: Column) -> Column:
+        for char, spelling in longer.items():
+            t = F.replace(t, F.lit(char), F.lit(spelling))
+        return F.regexp_replace(t, NON_ASCII, "")
+
+    def fold(t: Column) -> Column:
+        letters = F.translate(t, "".join(single), "".join(single.values()))
+        return let(letters, lambda u: F.when(u.rlike(NON_ASCII), respell(u)).otherwise(u))
+
+    return let(c, lambda t: F.when(t.rlike(NON_ASCII), fold(t)).otherwise(t))
 
 
 def remove_url(c: Column) -> Column:
@@ -120,30 +128,55 @@ def remove_single_character_tokens(c: Column) -> Column:
     return F.regexp_replace(c, fv.SINGLE_PATTERN, "")
 
 
-# Two passes of the full order cannot match once the text is ASCII: degrees need
-# the degree sign, emoji are above it. They are left out of the chain, but for
-# the second URL pass that belongs to the emoji step.
-_CLEANING_ORDER = (
+def _only_where(condition: Callable[[Column], Column], *steps: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """Steps that are skipped where a cheap test says that they cannot match."""
+
+    def run(c: Column) -> Column:
+        def apply(t: Column) -> Column:
+            changed = t
+            for step in steps:
+                changed = step(changed)
+            return F.when(condition(t), changed).otherwise(t)
+
+        return let(c, apply)
+
+    return run
+
+
+def _has(*parts: str) -> Callable[[Column], Column]:
+    return lambda t: reduce(or_, [F.contains(t, F.lit(part)) for part in parts])
+
+
+def _has_digit(t: Column) -> Column:
+    return t.rlike(r"\d")
+
+
+# The fixed order of removal, up to the last two steps. Two passes cannot match
+# once the text is ASCII: degrees need the degree sign, emoji are above it. They
+# are left out, but for the second URL pass that belongs to the emoji step.
+_REMOVAL_ORDER = (
     remove_unicode,
-    remove_url,
-    remove_html,
-    remove_emails,
-    remove_times,
-    remove_phone_number,
-    remove_dates,
-    remove_url,
-    remove_prices,
-    remove_percentages,
-    remove_special_characters,
-    remove_single_character_tokens,
+    _only_where(_has("https://", "www."), remove_url),
+    _only_where(_has("<"), remove_html),
+    _only_where(_has("@"), remove_emails),
+    _only_where(
+        _has_digit,
+        _only_where(_has(":"), remove_times),
+        _only_where(lambda t: t.rlike(r"\d{3}[\s.-]?\d{4}"), remove_phone_number),
+        remove_dates,
+    ),
+    _only_where(_has("https://", "www."), remove_url),
+    _only_where(_has_digit, remove_prices, _only_where(_has("%"), remove_percentages)),
 )
 
 
+def _removed(c: Column) -> Column:
+    return reduce(lambda text, step: step(text), _REMOVAL_ORDER, c)
+
+
 def preprocess_text(c: Column) -> Column:
     """The whole cleaning chain, in its fixed order."""
-    for step in _CLEANING_ORDER:
-        c = step(c)
-    return c
+    return remove_single_character_tokens(remove_special_characters(_removed(c)))
 
 
 def split_tokens(c: Column) -> Column:
@@ -165,19 +198,20 @@ def lower_tokens(tokens: Column) -> Column:
 def analyze(c: Column, config: IndexConfig = IndexConfig()) -> Column:
     """Text -> array of tokens: clean, split, drop stop words, fold case.
 
+    The last cleaning steps turn special characters into blanks and drop single
+    characters. Splitting at what is no word character and keeping longer tokens
+    gives the same tokens without two passes over the text.
+
     Lemmas need a table, so they are put in afterwards; see
     :func:`seekloom.operators.lemmas.lemmatize_terms`.
     """
-    cleaned = preprocess_text(c)
+    text = _removed(c)
+    tokens = F.split(F.lower(text) if config.fold_case else text, r"\W+")
+    if not config.stop_words:
+        return F.filter(tokens, lambda t: F.length(t) > 1)
     if config.fold_case:
-        # One pass over the text instead of one call per token.
-        cleaned = F.lower(cleaned)
-        stop_words = config.stop_words
-        return F.filter(
-            F.split(cleaned, r"\s+"),
-            lambda t: (t != "") & ~t.isin(*stop_words) if stop_words else (t != ""),
-        )
-    return drop_stop_words(split_tokens(cleaned), config.stop_words)
+        return F.filter(tokens, lambda t: (F.length(t) > 1) & ~t.isin(*config.stop_words))
+    return F.filter(tokens, lambda t: (F.length(t) > 1) & ~F.lower(t).isin(*config.stop_words))
 
 
 def capped_tokens(text: Column, config: IndexConfig = IndexConfig()) -> Column:

@@ -18,6 +18,7 @@ from seekloom.session import cut_lineage
 from seekloom.sources.index_store import Index
 
 _FEW_BYTES = 64 * 1024
+_FEW_ROWS = 1_000
 _RANKED_ROW_BYTES = 64
 
 
@@ -74,7 +75,8 @@ def search_terms(
 ) -> DataFrame:
     """Ranked results for weighted terms.
 
-    With a limit, each query gets its best documents. Without one, all matches are
+    With a limit, each query gets its best documents. If those are at most a few
+    hundred, their ids become literals for the scan of the documents. Without one, all matches are
     ranked; positions then come from one range sort over all queries.
     """
     facts = facts or measure_terms(terms, index.buckets)
@@ -86,8 +88,13 @@ def search_terms(
             "query_id", "doc_id", "score", (F.col("position") - F.col("first") + 1).alias("rank")
         )
         return rk.ranked_results(ranked, index.documents)
-    small = facts.n_queries * config.limit * _RANKED_ROW_BYTES <= BROADCAST_BYTES
-    return rk.ranked_results(rk.top_ranked(scores, config.limit), index.documents, small)
+    ranked = rk.top_ranked(scores, config.limit)
+    most = facts.n_queries * config.limit
+    if most <= _FEW_ROWS:
+        rows = ranked.collect()
+        found = index.documents.where(F.col("doc_id").isin([r["doc_id"] for r in rows]))
+        return rk.ranked_results(found.sparkSession.createDataFrame(rows, ranked.schema), found, small=True)
+    return rk.ranked_results(ranked, index.documents, small=most * _RANKED_ROW_BYTES <= BROADCAST_BYTES)
 
 
 def search(
@@ -121,11 +128,11 @@ def search_one(
     Its terms are no more than the query holds, so they go through the driver.
     """
     queries = spark.createDataFrame([(1, text)], schemas.QUERIES)
-    planned = expanded_terms(queries, vectors, lemmas, config, index_config)
-    rows = planned.collect()
-    words = sorted({r["word"] for r in rows})
-    terms = spark.createDataFrame(rows, planned.schema)
-    return search_terms(index, terms, config, TermFacts(True, 1, None, words))
+    planned = expanded_terms(queries, vectors, lemmas, config, index_config).select("query_id", "word", "weight")
+    rows = ix.with_bucket(planned, index.buckets or 1).collect()
+    terms = spark.createDataFrame([r[:3] for r in rows], planned.schema)
+    buckets = sorted({r["word_bucket"] for r in rows}) if index.buckets else None
+    return search_terms(index, terms, config, TermFacts(True, 1, buckets, sorted({r["word"] for r in rows})))
 
 
 def search_texts(texts: DataFrame, queries: DataFrame, config: SearchConfig = SearchConfig()) -> DataFrame:
