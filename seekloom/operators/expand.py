@@ -52,6 +52,17 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _neighbour_rows(found: list[tuple[str, str, float]]) -> pd.DataFrame:
+    tokens, words, cosines = zip(*found, strict=True) if found else ((), (), ())
+    return pd.DataFrame(
+        {
+            "token": pd.Series(tokens, dtype=object),
+            "word": pd.Series(words, dtype=object),
+            "cos": pd.Series(cosines, dtype="float64"),
+        }
+    )
+
+
 def _best(tokens: list[str], queries: np.ndarray, words: np.ndarray, vectors: np.ndarray, n: int) -> pd.DataFrame:
     """Per token the n nearest of a block of words, not itself; ties by word."""
     order = np.argsort(words.astype(str), kind="stable")
@@ -67,7 +78,7 @@ def _best(tokens: list[str], queries: np.ndarray, words: np.ndarray, vectors: np
         near = near[np.argsort(-row[near], kind="stable")]
         near = [i for i in near if words[i] != token][:n]
         found += [(token, words[i], float(row[i])) for i in near]
-    return pd.DataFrame(found, columns=["token", "word", "cos"])
+    return _neighbour_rows(found)
 
 
 def nearest_words(tokens: DataFrame, vectors: DataFrame, n: int, max_bytes: int = BROADCAST_BYTES // 4) -> DataFrame:
@@ -122,7 +133,7 @@ def _near_by_blocks(wanted: DataFrame, unit: DataFrame, n: int, token_blocks: in
 
     def compare(tokens: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         if not len(tokens) or not len(words):
-            return pd.DataFrame({"token": [], "word": [], "cos": []})
+            return _neighbour_rows([])
         return _best(
             list(tokens["word"]), np.stack(tokens["vector"]), words["other"].to_numpy(), np.stack(words["values"]), n
         )
