@@ -48,7 +48,7 @@ def _terms(spark: SparkSession, folder: str) -> DataFrame:
 
 def _postings(spark: SparkSession, folder: str) -> DataFrame:
     index = document_index(spark, folder)
-    terms = rk.idf_of(_terms(spark, folder), index.idf)
+    terms = rk.with_gain(rk.idf_of(_terms(spark, folder), index.idf))
     return rk.postings_of(terms, index.tf.select("word", "doc_id", "tf"))
 
 

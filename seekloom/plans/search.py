@@ -66,7 +66,7 @@ def score_terms(
     """``terms(query_id, word, weight)`` -> ``(query_id, doc_id, score)`` of all matches."""
     facts = facts or measure_terms(terms, index.buckets)
     tf, idf = _index_slice(index, facts)
-    found = rk.postings_of(rk.idf_of(terms, idf, facts.small), tf, facts.small)
+    found = rk.postings_of(rk.with_gain(rk.idf_of(terms, idf, facts.small)), tf, facts.small)
     return rk.document_scores(found, index.size.scalar(), config)
 
 
@@ -150,6 +150,6 @@ def search_texts(texts: DataFrame, queries: DataFrame, config: SearchConfig = Se
     wanted = terms.select("word").distinct()
     held = cut_lineage(lookup_join(tf, wanted, ["word"], "left_semi", F.col("doc_id"), small=facts.small))
     idf = ix.inverse_frequencies(held, texts)
-    found = rk.postings_of(rk.idf_of(terms, idf, facts.small), held, facts.small)
+    found = rk.postings_of(rk.with_gain(rk.idf_of(terms, idf, facts.small)), held, facts.small)
     scores = rk.document_scores(found, ix.corpus_size(texts).scalar(), config)
     return scores if config.limit is None else rk.top_ranked(scores, config.limit)
