@@ -99,8 +99,9 @@ def index_from_pages(spark: SparkSession, folder: str) -> DataFrame:
 )
 def index_in_two_steps(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "index")
+    english = documents(spark, folder).where(F.col("lang") == "en")
+    build_index(titles_and_links(english), path)
     texts = titles_and_links(documents(spark, folder))
-    build_index(texts.where(F.col("doc_id") % 2 == 0), path)
     append_documents(texts, path, "second")
     built = append_documents(texts, path, "second")
     totals = built.tf.groupBy("word").agg(F.count("*").alias("df"), F.sum("tf").alias("n"))

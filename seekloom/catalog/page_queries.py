@@ -30,7 +30,7 @@ def one_page_per_link(spark: SparkSession, folder: str) -> DataFrame:
 @query("stored_pages", "SELECT url AS link, length(html) AS n_chars FROM pages WHERE html IS NOT NULL")
 def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "pages")
-    write_pages(pages(spark, folder).where(F.col("page_id") % 2 == 0), path)
+    write_pages(pages(spark, folder).where(F.col("link").contains("/en/")), path)
     write_pages(pages(spark, folder), path, stored=read_pages(spark, path))
     return read_pages(spark, path).select("link", F.length("html").cast("long").alias("n_chars"))
 

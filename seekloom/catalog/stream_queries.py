@@ -12,11 +12,11 @@ from seekloom.streaming import ingest as ing
 
 
 def _arriving_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """All pages as four files, and half of them once more, one file per batch."""
+    """All pages as four files, and the English ones once more, two files per batch."""
     path = new_folder(spark, "arriving")
-    found = table(spark, folder, "pages").select(F.col("url").alias("link"), "html", "page_id")
-    found.select("link", "html").repartition(4).write.parquet(path)
-    found.where(F.col("page_id") % 2 == 0).select("link", "html").coalesce(1).write.mode("append").parquet(path)
+    found = table(spark, folder, "pages").select(F.col("url").alias("link"), "html")
+    found.repartition(4).write.parquet(path)
+    found.where(F.col("link").contains("/en/")).coalesce(1).write.mode("append").parquet(path)
     return ing.read_page_stream(spark, path, files_per_trigger=2)
 
 

@@ -18,9 +18,14 @@ class DuplicateIds(ValueError):
     """Two documents got the same id."""
 
 
-def parsed_documents(pages: DataFrame, text_mode: str = "leaf", doc_id: str | None = None) -> DataFrame:
-    """``pages(link, html[, id])`` -> ``(doc_id, link, title, description, text)`` in one HTML walk."""
-    parsed = html.parse_pages(one_per_link(pages), *html.text_fields(text_mode))
+def parsed_documents(
+    pages: DataFrame, text_mode: str = "leaf", doc_id: str | None = None, unique: bool = False
+) -> DataFrame:
+    """``pages(link, html[, id])`` -> ``(doc_id, link, title, description, text)`` in one HTML walk.
+
+    ``unique`` says that no link occurs twice and no page is null, as in a page store.
+    """
+    parsed = html.parse_pages(pages if unique else one_per_link(pages), *html.text_fields(text_mode))
     identity = ix.hash_id(F.col("link")) if doc_id is None else F.col(doc_id)
     return parsed.select(
         identity.alias("doc_id"), "link", "title", "description", html.searchable_text(text_mode).alias("text")
@@ -62,9 +67,10 @@ def build_index_from_pages(
     lemmas: DataFrame | None = None,
     text_mode: str = "leaf",
     doc_id: str | None = None,
+    unique: bool = False,
 ) -> store.Index:
-    """Rebuild the index at ``path`` from stored pages. The HTML is walked once."""
-    return build_index(cut_lineage(parsed_documents(pages, text_mode, doc_id)), path, config, lemmas)
+    """Rebuild the index at ``path`` from pages. The HTML is walked once."""
+    return build_index(cut_lineage(parsed_documents(pages, text_mode, doc_id, unique)), path, config, lemmas)
 
 
 def append_documents(

@@ -6,20 +6,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekloom import schemas
-from seekloom.operators.joins import without_stored
+from seekloom.operators.joins import fits_broadcast, without_stored
 
 
 def one_per_link(pages: DataFrame, first_by: Column | None = None) -> DataFrame:
     """One page per link, null pages dropped.
 
-    With ``first_by`` the first page of a link is kept, else any. Copies of a link
-    are combined before the shuffle, however many there are.
+    With ``first_by`` the first page of a link is kept, else any. Links that occur
+    more than once are found from the link column alone. Only their pages are
+    shuffled, unless those links are too many to send to the scan; copies are
+    combined before the shuffle, however many there are.
     """
     valid = pages.where(F.col("html").isNotNull() & F.col("link").isNotNull())
+    repeated = pages.groupBy("link").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("link")
+    if not fits_broadcast(repeated):
+        return _first_of_each(valid, first_by)
+    listed = F.broadcast(repeated)
+    alone = valid.join(listed, "link", "left_anti").select(pages.columns)
+    return alone.unionByName(_first_of_each(valid.join(listed, "link", "left_semi"), first_by).select(pages.columns))
+
+
+def _first_of_each(pages: DataFrame, first_by: Column | None) -> DataFrame:
     if first_by is None:
-        return valid.dropDuplicates(["link"])
+        return pages.dropDuplicates(["link"])
     others = [c for c in pages.columns if c != "link"]
-    best = valid.groupBy("link").agg(F.min_by(F.struct(*others), first_by).alias("page"))
+    best = pages.groupBy("link").agg(F.min_by(F.struct(*others), first_by).alias("page"))
     return best.select("link", *[F.col(f"page.{c}").alias(c) for c in others])
 
 

@@ -44,11 +44,11 @@ def ingest_batch(
     """
     spark = pages.sparkSession
     others = _stored_pages(spark, path).where(F.col("batch") != batch)
-    fresh = without_stored(cut_lineage(one_per_link(pages.select("link", "html"))), others, "link")
+    fresh = without_stored(one_per_link(cut_lineage(pages.select("link", "html"))), others, "link")
     folder = f"{path}/pages/batch={batch}"
     fresh.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     stored = spark.read.schema(schemas.PAGES).parquet(folder)
-    documents = cut_lineage(parsed_documents(stored, text_mode))
+    documents = cut_lineage(parsed_documents(stored, text_mode, unique=True))
     store.write_documents(ix.documents_table(documents, F.col("doc_id")), path, batch)
     store.write_postings(postings(documents, config), path, config, batch)
 
