@@ -17,8 +17,6 @@ def local_session(cores: str = "8", app_name: str = "seekloom") -> SparkSession:
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
-        # The default of 64 MB would leave small data to a single task.
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
