@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,12 +29,15 @@ def local_session(cores: str = "8", app_name: str = "seekloom") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints, which all executors can reach.
 
-    A local folder is made only where the session names none, as in tests.
+    Where none is named, a session on one machine gets a temporary folder of its own; on a
+    cluster that folder would exist on one machine only, so it is refused.
     """
     global _own_folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="seekloom-")
     return _own_folder
