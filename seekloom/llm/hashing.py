@@ -44,7 +44,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def range_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash for each range of bytes; equal bytes have equal hashes wherever they stand."""
-    size = 1 << max(22, int(len(buffer)).bit_length())
+    size = 1 << max(20, int(len(buffer)).bit_length())
     up, down = _powers(size)
     sums = np.empty(len(buffer) + 1, dtype=np.uint64)
     sums[0] = 0

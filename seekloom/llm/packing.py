@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seekloom.llm.batches import as_batch, slices, texts_of
-from seekloom.llm.tokens import encoder
+from seekloom.llm.tokens import SLICE_BYTES, encoder
 from seekloom.session import new_folder
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -144,7 +144,7 @@ def pack_documents(
         task = TaskContext.get().partitionId()
         windows = Windows(max_tokens, open_windows, min_piece, task << 32)
         end = np.array([end_id], dtype="<u4")
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             doc_ids = batch.column("doc_id").to_pylist()
             for doc_id, ids in zip(doc_ids, encoder(tokenizer).encode(texts_of(batch)), strict=True):
                 windows.place((doc_id, 0, len(ids) + 1, np.concatenate([ids, end])))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seekloom.llm.batches import as_batch, slices, texts_of
-from seekloom.llm.tokens import encoder
+from seekloom.llm.tokens import SLICE_BYTES, encoder
 
 SCHEMA = "doc_id long, n_tokens long, tokens array<int>"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("tokens", pa.list_(pa.int32()))])
@@ -32,7 +32,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, end_id: int | None =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([] if end_id is None else [end_id], dtype="<u4")
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             found = [part for ids in encoder(tokenizer).encode(texts_of(batch)) for part in (ids, end)]
             sizes = np.fromiter((len(a) + len(end) for a in found[::2]), np.int64, batch.num_rows)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)

@@ -17,8 +17,10 @@ import pyarrow as pa
 
 from seekloom.llm.hashing import range_hashes
 
+#: Texts are encoded in slices of so many bytes.
+SLICE_BYTES = 1024 * 1024
 #: Words remembered by a worker before it starts anew; bounds its memory, not the result.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 _LETTER, _DIGIT, _PUNCTUATION, _SPACE, _LINE, _OTHER = range(6)
 _CLASSES = np.full(256, _OTHER, dtype=np.uint8)
 for _kind, _characters in ((_DIGIT, "0123456789"), (_PUNCTUATION, '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'), (_SPACE, " "), (_LINE, "\t\n\x0b\x0c\r")):
