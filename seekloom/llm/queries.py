@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekloom.llm import packing, token_files
+from seekloom.llm import exact_dedup, fingerprints, lm_scoring, packing, token_files
 from seekloom.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,33 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def _half_replaced(text: str, following: str) -> str:
+    """The last half of the code points replaced by the first as many of another text."""
+    half = len(text) // 2
+    return text[: len(text) - half] + following[:half]
+
+
+@query("op1_fingerprints")
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_next(_documents(spark, folder), _half_replaced)
+
+
+_NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
+
+
+@query(
+    "op2_exact_dedup",
+    f"""
+    WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, sha256({_NORMAL}) AS text_sha256, {_NORMAL} AS normal FROM documents)
+    SELECT doc_id, first_value(doc_id) OVER own AS keep_id, count(*) OVER (PARTITION BY normal) AS group_size,
+        row_number() OVER own = 1 AS kept, text_sha256
+    FROM n WINDOW own AS (PARTITION BY normal ORDER BY n_chars DESC, doc_id)
+    """,
+)
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.deduplicate(_documents(spark, folder)).drop("file", "at")
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack_documents(_documents(spark, folder), TOKENIZER)
@@ -39,6 +66,16 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _remainder(divisor: int):
+    """crc32 of the id as text, modulo a number; 0 for a row without id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor, F.lit(0))
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(_documents(spark, folder), lambda: _remainder(10) != 0)
+
+
 @query("op10_token_files")
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "tokens")
