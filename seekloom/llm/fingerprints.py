@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seekloom.llm.batches import as_batch, slices, texts_of
 from seekloom.llm.hashing import mix, range_hashes
@@ -91,7 +92,7 @@ def likeness(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return np.where(same, 1.0, np.clip(found, 0.0, np.nextafter(1.0, 0.0)))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def fingerprint(texts: pd.Series) -> pd.Series:
     """Column function: the fingerprint of a text."""
     data = [t.encode() for t in texts.fillna("")]

@@ -8,13 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seekloom.llm import exact_dedup, fingerprints, lm_scoring, packing, token_files
+from seekloom.llm import (
+    exact_dedup,
+    fingerprints,
+    language_id,
+    lm_scoring,
+    near_dedup,
+    packing,
+    piece_sampling,
+    quality,
+    token_files,
+    url_filter,
+)
 from seekloom.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, oracle: str | None = None):
@@ -31,6 +43,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def _remainder(divisor: int):
+    """crc32 of the id as text, modulo a number; 0 for a row without id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor, F.lit(0))
+
+
 def _half_replaced(text: str, following: str) -> str:
     """The last half of the code points replaced by the first as many of another text."""
     half = len(text) // 2
@@ -58,6 +75,20 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate(_documents(spark, folder)).drop("file", "at")
 
 
+def labelled_quality(spark: SparkSession, folder: str, documents: DataFrame) -> DataFrame:
+    """Documents with a label that may be learned from; of several labels the lowest counts."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").groupBy("doc_id").agg(F.min("quality").alias("label"))
+    return documents.where(_remainder(3) != 1).join(labels, "doc_id").select("doc_id", "text", "label")
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    model = quality.learn(labelled_quality(spark, folder, documents))
+    scored = documents.select("doc_id", (_remainder(3) == 1).alias("held_out"), quality.quality_score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack_documents(_documents(spark, folder), TOKENIZER)
@@ -66,9 +97,66 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _remainder(divisor: int):
-    """crc32 of the id as text, modulo a number; 0 for a row without id."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor, F.lit(0))
+@query("op5_minhash_near_dedup")
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(_documents(spark, folder), words=4, percent=80)
+
+
+def labelled_languages(documents: DataFrame) -> DataFrame:
+    return documents.where(_remainder(5) != 0).select("doc_id", "text", "lang")
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    samples = language_id.learn_samples(labelled_languages(documents))
+    judged = language_id.identify(documents.select("doc_id", "text"), samples)
+    return judged.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+#: The rules that judge hosts and paths.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query(
+    "op7_url_filter",
+    r"""
+    WITH u AS (SELECT page_id, regexp_extract(coalesce(url, ''), '^.*?://(.*)$', 1, 's') AS rest FROM pages),
+    p AS (
+        SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path
+        FROM u
+    ),
+    c AS (SELECT *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(/|\.html)$', '') AS canonical FROM p),
+    listed AS (SELECT canonical FROM c WHERE host <> '' GROUP BY canonical HAVING count(DISTINCT page_id) > 1),
+    r AS (
+        SELECT *, CASE
+            WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/'
+            END AS rule
+        FROM c
+    )
+    SELECT page_id, host, path, rule, CASE
+        WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+        WHEN host <> '' AND canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+    FROM r
+    """,
+)
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The listed URLs are canonical URLs that were reposted: several pages have them."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    host, path = url_filter.host_and_path(F.col("url"))
+    spelled = pages.select("page_id", url_filter.canonical(host, path).alias("canonical"), host.alias("host")).where("host != ''")
+    listed = spelled.groupBy("canonical").agg(F.countDistinct("page_id").alias("n")).where("n > 1").select("canonical")
+    return url_filter.judge_urls(pages, rules, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_piece_sampling")
+def op8_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_sampling.encode_sampled(_documents(spark, folder), PIECES, digests=True)
 
 
 @query("op9_lm_scoring")
