@@ -29,6 +29,7 @@ SAMPLE_ROWS = 1_500
 SAMPLE_CHARS = 20_000
 #: Chunks of a document that one training step looks at, drawn anew each time.
 STEP_CHUNKS = 12
+MIN_STEPS = 600
 _SLICE_BYTES = 1024 * 1024
 
 Model = dict[str, np.ndarray]
@@ -158,6 +159,8 @@ def train(texts: list[str], labels: list[int], epochs: int = 14, batch: int = 64
     weight_of = np.where(share > 0, 0.5 / np.maximum(share, 1e-9), 0)
     first, second = ({k: np.zeros_like(v) for k, v in model.items()} for _ in range(2))
     steps = 0
+    # A small sample is gone over more often.
+    epochs = max(epochs, -(-MIN_STEPS * batch // len(data)))
     for epoch in range(epochs):
         order = random.permutation(len(data))
         for start in range(0, len(order), batch):
