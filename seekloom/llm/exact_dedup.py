@@ -55,14 +55,15 @@ def located(documents: DataFrame) -> DataFrame:
         return cut_lineage(documents.select(*wanted)).select("doc_id", "text", *place)
 
 
-def facts(documents: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """``(digest, n_chars, doc_id, file, at)`` of located documents."""
+def facts(documents: DataFrame, digest: Callable[[Column], Column] = sha256, *also: Column) -> DataFrame:
+    """``(digest, n_chars, doc_id, file, at)`` of located documents, and other columns."""
     return documents.select(
         digest(normalized(F.col("text"))).alias("digest"),
         F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
         "doc_id",
         "file",
         "at",
+        *also,
     )
 
 
@@ -144,8 +145,8 @@ def deduplicate(
     spark = documents.sparkSession
     rows = located(documents)
     seen_folder, state_folder = new_folder(spark, "facts"), new_folder(spark, "entries")
-    own_digest = facts(rows, digest).withColumn("sha", sha256(normalized(F.col("text")))) if digest is not sha256 else facts(rows)
-    own_digest.write.parquet(seen_folder)
+    also = [] if digest is sha256 else [sha256(normalized(F.col("text"))).alias("sha")]
+    facts(rows, digest, *also).write.parquet(seen_folder)
     seen = spark.read.parquet(seen_folder)
     if seen.isEmpty():
         state = spark.createDataFrame([], "digest binary, entry struct<shorter: long, no_id: boolean, doc_id: long, file: string, at: long>, hits long")

@@ -125,8 +125,9 @@ def with_next_text(documents: DataFrame, ranges: int | None = None) -> DataFrame
     docs = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select("doc_id")
-    quantiles = ids.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) or []
-    splits = sorted({int(q) for q in quantiles})
+    shares = [i / ranges for i in range(1, ranges)]
+    quantiles = ids.agg(F.percentile_approx("doc_id", shares, 5 * ranges)).first()[0] if shares else None
+    splits = sorted(set(quantiles or []))
     number = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(range_number(F.col("doc_id"), splits))
     firsts = {r["range"]: r["first"] for r in ids.groupBy(number.alias("range")).agg(F.max("doc_id").alias("first")).collect()}
     order = sorted(firsts, reverse=True)

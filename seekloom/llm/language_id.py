@@ -159,7 +159,7 @@ def learn_samples(labelled: DataFrame) -> dict[str, bytes]:
     """Text of each language from ``(doc_id, text, lang)``, within the bounds of the sample.
 
     Of each language the rows with the smallest hashes of their id are taken. Rows without a
-    language are not.
+    language or without an id are not.
     """
     ids = labelled.where(F.col("lang").isNotNull()).select("lang", "doc_id", F.xxhash64("doc_id").alias("order"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))

@@ -38,8 +38,7 @@ Model = dict[str, np.ndarray]
 def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts in whole blocks, blocks of each text, share of real bytes per block."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    # A block more where a filter would otherwise reach into the next text.
-    blocks = (sizes + WIDTH - 2) // BLOCK + 1
+    blocks = np.maximum(1, -(-sizes // BLOCK))
     buffer = b"".join([t + b"\0" * (n * BLOCK - len(t)) for t, n in zip(texts, blocks.tolist(), strict=True)])
     starts = np.cumsum(blocks) - blocks
     number = np.arange(blocks.sum()) - np.repeat(starts, blocks)
@@ -47,12 +46,20 @@ def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(buffer, np.uint8), blocks, real.astype(np.float32)
 
 
-def responses(model: Model, buffer: np.ndarray) -> np.ndarray:
+def _ahead(buffer: np.ndarray, blocks: np.ndarray, k: int) -> np.ndarray:
+    """The byte ``k`` places ahead of each; zero beyond the last block of its text."""
+    out = np.concatenate([buffer[k:], np.zeros(k, np.uint8)])
+    ends = np.cumsum(blocks) * BLOCK
+    for back in range(1, k + 1):
+        out[ends - back] = 0
+    return out
+
+
+def responses(model: Model, buffer: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     """Response of each filter at each byte: a sum of one table entry per byte under it."""
-    reach = np.concatenate([buffer, np.zeros(WIDTH - 1, np.uint8)])
-    total = model["filters"][0][reach[: len(buffer)]]
+    total = model["filters"][0][buffer]
     for k in range(1, WIDTH):
-        total += model["filters"][k][reach[k : k + len(buffer)]]
+        total += model["filters"][k][_ahead(buffer, blocks, k)]
     return total
 
 
@@ -67,7 +74,7 @@ def _chunked(block_values: np.ndarray, blocks: np.ndarray, join) -> np.ndarray:
 def probabilities(model: Model, texts: list[bytes]) -> np.ndarray:
     """The probability of label 1 for each text."""
     buffer, blocks, real = padded(texts)
-    by_block = responses(model, buffer).reshape(-1, BLOCK, FILTERS).max(axis=1)
+    by_block = responses(model, buffer, blocks).reshape(-1, BLOCK, FILTERS).max(axis=1)
     pooled = np.maximum(_chunked(by_block, blocks, np.maximum), 0)
     filled = _chunked(real, blocks, lambda a, b: (a + b) / 2)
     hidden = np.maximum(np.column_stack([pooled, filled]) @ model["dense"] + model["dense_bias"], 0)
@@ -103,7 +110,7 @@ def _new_model(random: np.random.Generator) -> Model:
 def _gradients(model: Model, texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
     """Gradients of the weighted log loss. A maximum passes its gradient to where it was taken."""
     buffer, blocks, real = padded(texts)
-    shaped = responses(model, buffer).reshape(-1, BLOCK, FILTERS)
+    shaped = responses(model, buffer, blocks).reshape(-1, BLOCK, FILTERS)
     place = shaped.argmax(axis=1)
     by_block = np.take_along_axis(shaped, place[:, None, :], axis=1)[:, 0]
     n = len(by_block)
@@ -133,9 +140,8 @@ def _gradients(model: Model, texts: list[bytes], labels: np.ndarray, weights: np
     chunk, unit = np.nonzero(to_raw)
     block = np.where(use_next[chunk, unit], following[chunk], chunk)
     position = block * BLOCK + place[block, unit]
-    reach = np.concatenate([buffer, np.zeros(WIDTH - 1, np.uint8)])
     for k in range(WIDTH):
-        np.add.at(filters[k], (reach[position + k], unit), to_raw[chunk, unit])
+        np.add.at(filters[k], (_ahead(buffer, blocks, k)[position], unit), to_raw[chunk, unit])
     return out | {"filters": filters}
 
 

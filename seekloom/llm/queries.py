@@ -48,7 +48,7 @@ def _remainder(divisor: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor, F.lit(0))
 
 
-def _half_replaced(text: str, following: str) -> str:
+def half_replaced(text: str, following: str) -> str:
     """The last half of the code points replaced by the first as many of another text."""
     half = len(text) // 2
     return text[: len(text) - half] + following[:half]
@@ -56,7 +56,7 @@ def _half_replaced(text: str, following: str) -> str:
 
 @query("op1_fingerprints")
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return fingerprints.compare_with_next(_documents(spark, folder), _half_replaced)
+    return fingerprints.compare_with_next(_documents(spark, folder), half_replaced)
 
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -78,7 +78,7 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def labelled_quality(spark: SparkSession, folder: str, documents: DataFrame) -> DataFrame:
     """Documents with a label that may be learned from; of several labels the lowest counts."""
     labels = spark.read.parquet(f"{folder}/labels.parquet").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    return documents.where(_remainder(3) != 1).join(labels, "doc_id").select("doc_id", "text", "label")
+    return documents.where(_remainder(3) != 1).select("doc_id", "text").join(labels, "doc_id")
 
 
 @query("op3_quality_classifier")
