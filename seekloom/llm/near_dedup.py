@@ -9,9 +9,12 @@ equal by chance, estimates the similarity, and candidates far below the threshol
 
 Documents with equal sets form a class with one representative, so copies are never compared.
 Within a band's bucket, members are first paired with one member picked by hash; each document
-confirms its most similar pick on the full sets. Only members that are in different
-components after that are paired with each other. So every candidate pair is either connected
-or compared, and large groups of near copies do not give all their pairs.
+confirms its most similar pick on the full sets. In large buckets the members outside the
+largest component are then paired with its most central member. Only what is in different
+components after that is paired with each other. A shingle that no other member of a large
+bucket has is in no intersection: pairs that cannot reach the similarity without their
+members' own shingles are left out, which is exact. So every candidate pair is connected,
+compared or impossible, and large groups of near copies do not give all their pairs.
 
 Null or blank text has an empty set and is linked with nothing. A row without ``doc_id`` is
 linked with nothing and stays. Rows of one ``doc_id`` are one document with the links of all
@@ -38,7 +41,11 @@ BITS = 4
 _LONGS = MINIMA * BITS // 64
 #: Candidates whose estimate is lower than the threshold by more than this go: five standard errors.
 SLACK = 0.2
+#: Members from which on a bucket is large.
+LARGE = 32
+SHINGLES_PER_TASK = 4_000_000
 _SLICE_BYTES = 1024 * 1024
+_CUT = pa.schema([("range", pa.int64()), ("hashes", pa.binary()), ("owners", pa.binary())])
 
 _SEEDS = mix(np.arange(1, 2 * MINIMA + 1, dtype=np.uint64))
 _FACTORS, _TERMS = _SEEDS[:MINIMA] | np.uint64(1), _SEEDS[MINIMA:]
@@ -170,6 +177,50 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of buckets with several components: theirs, the bucket's largest, and its size."""
+    found = components(links).select(F.col("node").alias("rep"), "component")
+    names = [n for n in members.columns if n != "pick"]
+    placed = cut_lineage(members.select(*names).join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    buckets = parts.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"),
+        F.sum("n").alias("members"),
+        F.count(F.lit(1)).alias("parts"),
+    )
+    return placed.join(buckets.where("parts > 1").drop("parts"), "bucket")
+
+
+def _own_shingles(reps: DataFrame, nodes: DataFrame, documents: DataFrame, words: int) -> DataFrame:
+    """``(rep, own)``: how many of a document's shingles no other of the documents has.
+
+    Shingles go, in blocks, to the task that owns their range of hashes. Ids with several rows
+    have no result, as the rows are not told apart.
+    """
+    chosen = cut_lineage(nodes.groupBy("rep").agg(F.count(F.lit(1)).alias("rows"), F.max("size").alias("size")).join(reps, "rep"))
+    ranges = 1 + (chosen.agg(F.sum("size")).first()[0] or 0) // SHINGLES_PER_TASK
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", _SLICE_BYTES):
+            sets = shingle_sets(texts_of(batch), words)
+            sizes = [len(s) for s in sets]
+            hashes, owners = np.concatenate(sets), np.repeat(batch.column("doc_id").to_numpy(), sizes)
+            at = ((hashes >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)).astype(np.int64)
+            found = [(int(r), hashes[at == r].tobytes(), owners[at == r].tobytes()) for r in np.unique(at)]
+            yield as_batch(_CUT, *(zip(*found, strict=True) if found else [[]] * 3))
+
+    def count(table: pa.Table) -> pa.Table:
+        hashes, owners = (np.frombuffer(b"".join(table.column(n).to_pylist()), "<u8") for n in ("hashes", "owners"))
+        _, first, times = np.unique(hashes, return_index=True, return_counts=True)
+        rep, own = np.unique(owners[first[times == 1]].view("<i8"), return_counts=True)
+        return pa.table({"rep": pa.array(rep, pa.int64()), "own": pa.array(own, pa.int64())})
+
+    texts = lookup_join(documents, chosen.select(F.col("rep").alias("doc_id")), ["doc_id"], "left_semi").select("doc_id", "text")
+    counted = texts.mapInArrow(cut, "range long, hashes binary, owners binary").groupBy("range").applyInArrow(count, "rep long, own long")
+    own = counted.groupBy("rep").agg(F.sum("own").alias("own"))
+    return cut_lineage(own.join(chosen.where("rows = 1").select("rep"), "rep"))
+
+
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per document.
 
@@ -188,27 +239,42 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min_by("rep", F.xxhash64("rep", "bucket")).alias("pick")).where("n > 1")
     members = cut_lineage(banded.join(shared.select("bucket", "pick"), "bucket"))
 
+    sides = {n: nodes.select(F.col("rep").alias(n), F.col("packed").alias(f"packed_{n}"), F.col("size").alias(f"size_{n}")) for n in "ab"}
+
     def candidates(pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose sizes and signatures allow the similarity, with the estimate."""
-        sides = [nodes.select(F.col("rep").alias(n), F.col("packed").alias(f"packed_{n}"), F.col("size").alias(f"size_{n}")) for n in "ab"]
-        joined = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
+        joined = pairs.distinct().join(sides["a"], "a").join(sides["b"], "b")
         fits = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
         likely = estimate(F.col("packed_a"), F.col("packed_b"))
         return joined.where(fits).select("a", "b", likely.alias("likely")).where(F.col("likely") >= percent / 100 - SLACK)
 
-    picked = candidates(members.where("rep != pick").select(F.col("rep").alias("a"), F.col("pick").alias("b")))
-    best = picked.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b"))
-    links = _confirmed(best.select("a", "b"), docs, words, percent)
+    def confirmed_best(pairs: DataFrame) -> DataFrame:
+        """Links of each ``a`` with its most similar candidate."""
+        best = candidates(pairs).groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b"))
+        return _confirmed(best.select("a", "b"), docs, words, percent)
+
+    links = confirmed_best(members.where("rep != pick").select(F.col("rep").alias("a"), F.col("pick").alias("b")))
+    mixed = _mixed(members, links)
+    own = _own_shingles(mixed.where(F.col("members") > LARGE).select("rep").distinct(), nodes, docs, words)
+    # Only between members of large buckets is it known what they share.
+    lone = F.when(F.col("members") > LARGE, F.col("own"))
+    mixed = cut_lineage(mixed.join(own, "rep", "left").withColumn("shared", F.col("size") - F.coalesce(lone, F.lit(0))))
+    central = mixed.where((F.col("members") > LARGE) & (F.col("component") == F.col("largest"))).groupBy("bucket").agg(
+        F.max_by("rep", F.struct(F.col("shared") / F.col("size"), "rep")).alias("b")
+    )
+    able = F.col("shared") * 100 >= percent * F.col("size")
+    outside = mixed.where((F.col("component") != F.col("largest")) & able)
+    links = links.unionByName(confirmed_best(outside.join(central, "bucket").select(F.col("rep").alias("a"), "b")))
 
-    found = components(links).select(F.col("node").alias("rep"), "component")
-    placed = members.select("bucket", "rep").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = cut_lineage(placed)
-    parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("parts"))
-    mixed = placed.join(largest.where("parts > 1").select("bucket", "largest"), "bucket")
+    mixed = cut_lineage(_mixed(mixed.select("bucket", "rep", "size", "shared"), links).where(able))
     # The largest component of a bucket is not paired with itself.
-    others = mixed.where("component != largest").select("bucket", F.col("rep").alias("a"), F.col("component").alias("own"))
-    across = others.join(mixed, "bucket").where("own != component AND (component = largest OR a < rep)")
+    one = mixed.where("component != largest").select(
+        "bucket", F.col("rep").alias("a"), F.col("component").alias("component_a"), F.col("shared").alias("shared_a"), F.col("size").alias("size_a")
+    )
+    most = F.least("shared_a", "shared")
+    possible = 100 * most >= percent * (F.col("size_a") + F.col("size") - most)
+    ordered = (F.col("component") == F.col("largest")) | (F.col("a") < F.col("rep"))
+    across = one.join(mixed, (one["bucket"] == mixed["bucket"]) & (F.col("component_a") != F.col("component")) & ordered & possible)
     pairs = across.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
     links = links.unionByName(_confirmed(candidates(pairs).select("a", "b"), docs, words, percent))
 
