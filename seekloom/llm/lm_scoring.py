@@ -35,7 +35,7 @@ from seekloom.llm.batches import as_batch, slices, texts_of
 from seekloom.llm.hashing import mix, word_hashes
 from seekloom.session import new_folder
 
-CHUNK_BYTES = 24 * 1024 * 1024
+CHUNK_BYTES = 10 * 1024 * 1024
 #: Stands for the end of a document; no word has a fixed hash.
 END = np.uint64(0x5EED0E2D5EED0E2D)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
