@@ -63,21 +63,33 @@ def _neighbour_rows(found: list[tuple[str, str, float]]) -> pd.DataFrame:
     )
 
 
+#: Rows of tokens and of words that are multiplied at once; bounds a task's memory.
+_TOKEN_TILE, _WORD_TILE = 512, 4_096
+#: Cosines are compared after rounding, as their last bits depend on the shape of the product.
+_DIGITS = 10
+
+
 def _best(tokens: list[str], queries: np.ndarray, words: np.ndarray, vectors: np.ndarray, n: int) -> pd.DataFrame:
-    """Per token the n nearest of a block of words, not itself; ties by word."""
+    """Per token the n nearest of a block of words, not itself; ties by word.
+
+    Works in tiles and keeps the best so far of each token.
+    """
     order = np.argsort(words.astype(str), kind="stable")
     words, vectors = words[order], vectors[order]
     found = []
-    for token, row in zip(tokens, queries @ vectors.T, strict=True):
-        take = min(n + 1, len(row))
-        if take < len(row):
-            bound = np.partition(row, len(row) - take)[len(row) - take]
-            near = np.flatnonzero(row >= bound)
-        else:
-            near = np.arange(len(row))
-        near = near[np.argsort(-row[near], kind="stable")]
-        near = [i for i in near if words[i] != token][:n]
-        found += [(token, words[i], float(row[i])) for i in near]
+    for first in range(0, len(tokens), _TOKEN_TILE):
+        names = tokens[first : first + _TOKEN_TILE]
+        kept: list[list[tuple[float, int]]] = [[] for _ in names]
+        for start in range(0, len(words), _WORD_TILE):
+            product = queries[first : first + _TOKEN_TILE] @ vectors[start : start + _WORD_TILE].T
+            for row, (token, cosines) in enumerate(zip(names, np.round(product, _DIGITS), strict=True)):
+                near = np.arange(len(cosines))
+                if n + 1 < len(cosines):
+                    near = np.flatnonzero(cosines >= np.partition(cosines, len(cosines) - n - 1)[len(cosines) - n - 1])
+                near = near[np.argsort(-cosines[near], kind="stable")][: n + 1]
+                new = [(-float(cosines[i]), start + int(i)) for i in near if words[start + i] != token]
+                kept[row] = sorted(kept[row] + new)[:n]
+        found += [(token, words[i], -c) for token, own in zip(names, kept, strict=True) for c, i in own]
     return _neighbour_rows(found)
 
 
@@ -101,7 +113,7 @@ def nearest_words(tokens: DataFrame, vectors: DataFrame, n: int, max_bytes: int
     if size["bytes"] <= max_bytes:
         partial = _near_by_broadcast(wanted, unit, n)
     else:
-        partial = _near_by_blocks(wanted, unit, n, -(-size["bytes"] // max_bytes))
+        partial = _near_by_blocks(wanted, unit, n, -(-size["bytes"] // max_bytes), max_bytes)
     by_token = Window.partitionBy("token").orderBy(F.desc("cos"), "word")
     return partial.withColumn("rank", F.row_number().over(by_token)).where(F.col("rank") <= n)
 
@@ -119,7 +131,10 @@ def _near_by_broadcast(wanted: DataFrame, unit: DataFrame, n: int) -> DataFrame:
     return unit.mapInPandas(compare, _NEIGHBOURS)
 
 
-def _near_by_blocks(wanted: DataFrame, unit: DataFrame, n: int, token_blocks: int, word_blocks: int = 64) -> DataFrame:
+def _near_by_blocks(wanted: DataFrame, unit: DataFrame, n: int, token_blocks: int, max_bytes: int) -> DataFrame:
+    word_bytes = unit.agg(F.coalesce(F.sum(F.size("vector") * 8), F.lit(0))).first()[0]
+    word_blocks = max(1, -(-word_bytes // max_bytes))
+
     def block(column: str, count: int) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
 
