@@ -13,8 +13,11 @@ from seekloom.catalog.registry import document_index, documents, query, table, u
 from seekloom.operators import expand as ex
 from seekloom.operators import present as pr
 from seekloom.operators import rank as rk
+from seekloom.config import IndexConfig
 from seekloom.plans import search as se
+from seekloom.plans.build import build_index, titles_and_links
 from seekloom.session import cut_lineage, new_folder
+from seekloom.sources.index_store import read_index
 from seekloom.sources.queries import read_queries, write_results
 
 _ITEMS = (
@@ -134,16 +137,27 @@ def top_documents(spark: SparkSession, folder: str) -> DataFrame:
 _ONE = "reon anes, onwh onea les!"
 
 
-@query(
-    "single_search",
+_ONE_RANKED = (
     f"WITH {sql.IDF}, terms AS (SELECT DISTINCT 1 AS query_id, unnest({sql.analyze(sql.text(_ONE))}) AS word, "
-    f"1.0::DOUBLE AS weight), {_SCORED}, {_RANKED} SELECT rank, doc_id, {_RESULT} FROM ranked WHERE rank <= 100",
+    f"1.0::DOUBLE AS weight), {_SCORED}, {_RANKED} SELECT rank, doc_id, {_RESULT} FROM ranked WHERE rank <= 100"
 )
+
+
+@query("single_search", _ONE_RANKED)
 def single_search(spark: SparkSession, folder: str) -> DataFrame:
     found = se.search_one(spark, document_index(spark, folder), _ONE)
     return found.select(F.col("rank").cast("long").alias("rank"), "doc_id", "link", F.round("score", 6).alias("score"))
 
 
+@query("search_other_bucket_count", _ONE_RANKED)
+def search_other_bucket_count(spark: SparkSession, folder: str) -> DataFrame:
+    """An index with another number of directories is read in its own layout."""
+    path = new_folder(spark, "index")
+    build_index(titles_and_links(documents(spark, folder)), path, IndexConfig(word_buckets=3))
+    found = se.search_one(spark, read_index(spark, path), _ONE)
+    return found.select(F.col("rank").cast("long").alias("rank"), "doc_id", "link", F.round("score", 6).alias("score"))
+
+
 @query(
     "search_without_index",
     f"{_ITEM_SCORES}, {_RANKED} SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 100",
@@ -190,7 +204,7 @@ def result_counts(spark: SparkSession, folder: str) -> DataFrame:
     return pr.result_counts(user_queries(spark, folder), batch_results(spark, folder))
 
 
-@query("queries_from_file", f"SELECT item_id AS query_id, {sql.squeeze('text')} AS text FROM benchmark")
+@query("queries_from_file", f"SELECT item_id::VARCHAR AS query_id, {sql.squeeze('text')} AS text FROM benchmark")
 def queries_from_file(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "queries")
     line = F.concat_ws("\t", F.col("query_id"), F.trim(F.regexp_replace("text", r"\s+", " ")))

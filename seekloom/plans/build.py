@@ -15,7 +15,7 @@ from seekloom.sources.pages import one_per_link
 
 
 class DuplicateIds(ValueError):
-    """Two documents got the same id."""
+    """Two documents got the same id, or one link occurs twice."""
 
 
 def parsed_documents(
@@ -38,10 +38,12 @@ def postings(texts: DataFrame, config: IndexConfig = IndexConfig(), lemmas: Data
     return tf if lemmas is None else lem.lemmatize_terms(tf, lemmas)
 
 
-def _check_ids(spark: SparkSession, path: str) -> None:
-    clash = ix.duplicate_keys(store.read_documents(spark, path), "doc_id").limit(1).collect()
-    if clash:
-        raise DuplicateIds(f"document id {clash[0]['doc_id']} occurs {clash[0]['n']} times")
+def check_documents(spark: SparkSession, path: str) -> None:
+    """Ids and links of all stored documents occur once each."""
+    for key in ("doc_id", "link"):
+        clash = ix.duplicate_keys(store.read_documents(spark, path), key).limit(1).collect()
+        if clash:
+            raise DuplicateIds(f"{key} {clash[0][key]} occurs {clash[0]['n']} times")
 
 
 def build_index(
@@ -52,12 +54,12 @@ def build_index(
 ) -> store.Index:
     """Rebuild the index at ``path`` from ``(doc_id, link, title, description, text)``."""
     spark = documents.sparkSession
-    store.reset_index(spark, path)
+    store.reset_index(spark, path, config)
     store.write_documents(ix.documents_table(documents, F.col("doc_id")), path)
-    _check_ids(spark, path)
+    check_documents(spark, path)
     store.write_postings(postings(documents, config, lemmas), path, config)
     store.write_frequencies(spark, path)
-    return store.read_index(spark, path, config)
+    return store.read_index(spark, path)
 
 
 def build_index_from_pages(
@@ -88,10 +90,10 @@ def append_documents(
     earlier = store.read_documents(spark, path, without_batch=batch)
     fresh = cut_lineage(without_stored(documents, earlier, "link"))
     store.write_documents(ix.documents_table(fresh, F.col("doc_id")), path, batch)
-    _check_ids(spark, path)
+    check_documents(spark, path)
     store.write_postings(postings(fresh, config, lemmas), path, config, batch)
     store.write_frequencies(spark, path)
-    return store.read_index(spark, path, config)
+    return store.read_index(spark, path)
 
 
 def titles_and_links(texts: DataFrame) -> DataFrame:

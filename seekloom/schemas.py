@@ -15,11 +15,6 @@ DOCUMENTS = T.StructType([
     T.StructField("summary", T.StringType(), True),
 ])
 
-WORDS = T.StructType([
-    T.StructField("word", T.StringType(), False),
-    T.StructField("word_id", T.LongType(), False),
-])
-
 TERM_FREQUENCIES = T.StructType([
     T.StructField("word", T.StringType(), False),
     T.StructField("doc_id", T.LongType(), False),
@@ -32,10 +27,8 @@ INVERSE_FREQUENCIES = T.StructType([
     T.StructField("idf", T.DoubleType(), False),
 ])
 
-LEMMAS = T.StructType([
-    T.StructField("surface", T.StringType(), False),
-    T.StructField("lemma", T.StringType(), False),
-])
+# How postings are laid out; written once per index.
+LAYOUT = T.StructType([T.StructField("word_buckets", T.IntegerType(), False)])
 
 VECTORS = T.StructType([
     T.StructField("word", T.StringType(), False),

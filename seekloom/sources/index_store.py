@@ -47,7 +47,19 @@ def write_documents(documents: DataFrame, path: str, batch: str = BASE) -> None:
     sorted_files.write.mode("overwrite").parquet(f"{path}/documents/batch={batch}")
 
 
+class WrongLayout(ValueError):
+    """Rows were about to be written in another layout than the index has."""
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int:
+    """In how many directories the postings of an index lie."""
+    return spark.read.schema(schemas.LAYOUT).parquet(f"{path}/layout").first()["word_buckets"]
+
+
 def write_postings(tf: DataFrame, path: str, config: IndexConfig = IndexConfig(), batch: str = BASE) -> None:
+    buckets = stored_buckets(tf.sparkSession, path)
+    if buckets != config.word_buckets:
+        raise WrongLayout(f"the index has {buckets} word buckets, not {config.word_buckets}")
     keys = ("word_bucket", "word", "doc_id")
     laid_out = ix.with_bucket(tf.select("word", "doc_id", "tf"), config.word_buckets)
     laid_out.hint("rebalance", "word_bucket").sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(
@@ -75,14 +87,18 @@ def read_frequencies(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.INVERSE_FREQUENCIES).parquet(f"{path}/idf")
 
 
-def read_index(spark: SparkSession, path: str, config: IndexConfig = IndexConfig()) -> Index:
-    return Index(
-        read_documents(spark, path), read_postings(spark, path), read_frequencies(spark, path), config.word_buckets
-    )
+def read_index(spark: SparkSession, path: str) -> Index:
+    """The index at a path, in the layout it was built with."""
+    buckets = stored_buckets(spark, path)
+    return Index(read_documents(spark, path), read_postings(spark, path), read_frequencies(spark, path), buckets)
+
 
+def reset_index(spark: SparkSession, path: str, config: IndexConfig = IndexConfig()) -> None:
+    """Empty documents, postings and frequencies, and the layout of what will be written.
 
-def reset_index(spark: SparkSession, path: str) -> None:
-    """Empty documents, postings and frequencies. Raw pages are kept elsewhere and stay."""
+    Raw pages are kept elsewhere and stay.
+    """
+    spark.createDataFrame([(config.word_buckets,)], schemas.LAYOUT).write.mode("overwrite").parquet(f"{path}/layout")
     for name, schema in (
         ("documents", schemas.stored(schemas.DOCUMENTS)),
         ("tf", schemas.stored(schemas.TERM_FREQUENCIES, "word_bucket")),

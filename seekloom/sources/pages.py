@@ -12,7 +12,8 @@ from seekloom.operators.joins import fits_broadcast, without_stored
 def one_per_link(pages: DataFrame, first_by: Column | None = None) -> DataFrame:
     """One page per link, null pages dropped.
 
-    With ``first_by`` the first page of a link is kept, else any. Links that occur
+    With ``first_by`` the first page of a link is kept, else that with the smallest hash, so
+    that a repeated run keeps the same one. Links that occur
     more than once are found from the link column alone. Only their pages are
     shuffled, unless those links are too many to send to the scan; copies are
     combined before the shuffle, however many there are.
@@ -28,7 +29,7 @@ def one_per_link(pages: DataFrame, first_by: Column | None = None) -> DataFrame:
 
 def _first_of_each(pages: DataFrame, first_by: Column | None) -> DataFrame:
     if first_by is None:
-        return pages.dropDuplicates(["link"])
+        first_by = F.struct(F.xxhash64("html"), "html")
     others = [c for c in pages.columns if c != "link"]
     best = pages.groupBy("link").agg(F.min_by(F.struct(*others), first_by).alias("page"))
     return best.select("link", *[F.col(f"page.{c}").alias(c) for c in others])

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 
 def parse_query_lines(lines: DataFrame) -> DataFrame:
-    """``lines(value)`` of number, blanks, query -> ``(query_id, text)``; blank lines skipped."""
+    """``lines(value)`` of number, blanks, query -> ``(query_id, text)``; blank lines skipped.
+
+    The number is kept as it is written, as it need not be an integer.
+    """
     line = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
     parsed = lines.select(line.alias("line")).where(F.col("line") != "")
     return parsed.select(
-        F.regexp_extract("line", r"^(\S+)\s+(.*)$", 1).try_cast("long").alias("query_id"),
-        F.regexp_extract("line", r"^(\S+)\s+(.*)$", 2).alias("text"),
-    ).where(F.col("query_id").isNotNull())
+        F.regexp_extract("line", r"^(\S+)", 1).alias("query_id"),
+        F.regexp_extract("line", r"^\S+\s+(.*)$", 1).alias("text"),
+    )
 
 
 def read_queries(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +13,7 @@ from seekloom import schemas
 from seekloom.config import IndexConfig
 from seekloom.operators import index as ix
 from seekloom.operators.joins import without_stored
-from seekloom.plans.build import parsed_documents, postings
+from seekloom.plans.build import check_documents, parsed_documents, postings
 from seekloom.session import cut_lineage
 from seekloom.sources import index_store as store
 from seekloom.sources.pages import one_per_link
@@ -53,9 +56,9 @@ def ingest_batch(
     store.write_postings(postings(documents, config), path, config, batch)
 
 
-def prepare(spark: SparkSession, path: str) -> None:
+def prepare(spark: SparkSession, path: str, config: IndexConfig = IndexConfig()) -> None:
     """Empty tables for a new index; raw pages in ``path/pages`` included."""
-    store.reset_index(spark, path)
+    store.reset_index(spark, path, config)
     schema = schemas.stored(schemas.PAGES)
     spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("batch").parquet(f"{path}/pages")
 
@@ -63,10 +66,18 @@ def prepare(spark: SparkSession, path: str) -> None:
 def start_ingest(
     stream: DataFrame, path: str, checkpoint: str, config: IndexConfig = IndexConfig(), text_mode: str = "leaf"
 ) -> StreamingQuery:
-    """Run the ingest over what has arrived. Started again, it goes on where it stopped."""
+    """Run the ingest over what has arrived. Started again, it goes on where it stopped.
+
+    Batches bear the id of the stream, which its checkpoint keeps, so that several streams
+    can fill one index one after the other.
+    """
+
+    @functools.cache
+    def stream_id(spark: SparkSession) -> str:
+        return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
 
     def each_batch(pages: DataFrame, epoch: int) -> None:
-        ingest_batch(pages, f"stream-{epoch}", path, config, text_mode)
+        ingest_batch(pages, f"{stream_id(pages.sparkSession)}-{epoch}", path, config, text_mode)
 
     return (
         stream.writeStream.foreachBatch(each_batch)
@@ -76,7 +87,8 @@ def start_ingest(
     )
 
 
-def finalize(spark: SparkSession, path: str, config: IndexConfig = IndexConfig()) -> store.Index:
-    """Compute idf once, after the stream has stopped."""
+def finalize(spark: SparkSession, path: str) -> store.Index:
+    """Check the documents and compute idf once, after the stream has stopped."""
+    check_documents(spark, path)
     store.write_frequencies(spark, path)
-    return store.read_index(spark, path, config)
+    return store.read_index(spark, path)

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from seekloom.config import SearchConfig
+from seekloom.config import IndexConfig, SearchConfig
 from seekloom.operators import expand as ex
 from seekloom.operators import index as ix
 from seekloom.operators import joins as jn
@@ -251,12 +251,38 @@ def test_positions(spark):
     assert sorted(r["v"] for r in first_rows(rows, 20_000, F.col("v")).collect()) == list(range(1000))
 
 
+def test_another_layout_is_refused(spark, texts):
+    path = new_folder(spark, "index")
+    built = build.build_index(build.titles_and_links(texts), path, IndexConfig(word_buckets=5))
+    assert built.buckets == store.read_index(spark, path).buckets == 5
+    assert search.search_one(spark, store.read_index(spark, path), "red hen").count() == 3
+    more = spark.createDataFrame([(9, "red")], "doc_id long, text string")
+    with pytest.raises(store.WrongLayout):
+        build.append_documents(build.titles_and_links(more), path, "more")
+
+
+def test_a_link_occurs_once(spark, texts):
+    twice = build.titles_and_links(texts).withColumn("link", F.lit("same"))
+    with pytest.raises(build.DuplicateIds, match="link"):
+        build.build_index(twice, new_folder(spark, "index"))
+
+
+def test_equal_vectors_by_broadcast_and_by_blocks(spark):
+    vectors = [(f"w{i:03d}", [float(i % 7), 1.0, float(i % 3)]) for i in range(200)]
+    frame = spark.createDataFrame(vectors, "word string, vector array<float>")
+    tokens = frame.select(F.col("word").alias("token")).where("token < 'w050'")
+    ways = [{tuple(r) for r in ex.nearest_words(tokens, frame, 5, max_bytes=size).collect()} for size in (10**9, 600)]
+    assert ways[0] == ways[1] and len(ways[0]) == 250
+
+
 def test_query_and_result_files(spark, index, tmp_path):
     lines = ["1\tred hen", "", "  7   blue fox ", "10 a", "x no number", "11"]
     path = str(tmp_path / "queries.txt")
     spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
     queries = qs.read_queries(spark, path)
-    assert sorted(map(tuple, queries.collect())) == [(1, "red hen"), (7, "blue fox"), (10, "a")]
+    assert sorted(map(tuple, queries.collect())) == [
+        ("1", "red hen"), ("10", "a"), ("11", ""), ("7", "blue fox"), ("x", "no number"),
+    ]
     out = str(tmp_path / "results")
     qs.write_results(search.search(index, queries), out)
     written = [r["value"].split("\t") for r in spark.read.text(out).collect()]
