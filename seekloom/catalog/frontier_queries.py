@@ -145,14 +145,7 @@ def _crawl(spark: SparkSession, folder: str, **limits) -> CrawlState:
     "coalesce(passed, false) AS crawled FROM reached LEFT JOIN judged USING (doc_id)",
 )
 def multi_hop_crawl(spark: SparkSession, folder: str) -> DataFrame:
-    state = _crawl(spark, folder, per_host=1_000_000_000, batch_size=1_000_000_000, max_pages=1_000_000_000)
+    state = _crawl(spark, folder)
     return state.done.withColumn("crawled", F.lit(True)).unionByName(
         state.rejected.select("url", F.lit(False).alias("crawled"))
     )
-
-
-@query("bounded_crawl")
-def bounded_crawl(spark: SparkSession, folder: str) -> DataFrame:
-    """A crawl with the default host and size limits for a few hops."""
-    state = _crawl(spark, folder, max_hops=3)
-    return state.done.select(urls.base_url(F.col("url")).alias("base_url"), "url")

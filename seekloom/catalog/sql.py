@@ -64,11 +64,8 @@ def analyze(e: str) -> str:
 
 
 def tokens_cte(source: str, key: str = "doc_id", column: str = "text") -> str:
-    """``tok(key, tokens)`` within the caps."""
-    return (
-        f"tok AS (SELECT {key}, tokens FROM (SELECT {key}, CASE WHEN length({column}) <= 200000 "
-        f"THEN {analyze(column)} END AS tokens FROM {source}) WHERE len(tokens) BETWEEN 1 AND 6000)"
-    )
+    """``tok(key, tokens)`` of rows with tokens."""
+    return f"tok AS (SELECT {key}, tokens FROM (SELECT {key}, {analyze(column)} AS tokens FROM {source}) WHERE len(tokens) >= 1)"
 
 
 TF = (

@@ -13,8 +13,9 @@ class IndexConfig:
 
     stop_words: tuple[str, ...] = fv.STOP_WORDS
     fold_case: bool = True
-    max_chars: int = 200_000
-    max_tokens: int = 6_000
+    # A document over a cap has no tokens at all, so there is none unless asked for.
+    max_chars: int | None = None
+    max_tokens: int | None = None
     # Postings are stored in this many directories by word hash. A search reads
     # only those its words fall into, so raise it with the corpus (4096 at 100 TB).
     word_buckets: int = 16
@@ -41,7 +42,8 @@ class CrawlConfig:
     languages: tuple[str, ...] = fv.PAGE_LANGUAGES
     required_keywords: tuple[str, ...] = fv.REQUIRED_KEYWORDS
     file_suffixes: tuple[str, ...] = fv.FILE_SUFFIXES
-    per_host: int = 5
-    batch_size: int = 10
-    max_pages: int = 1_000
-    max_hops: int = 1_000
+    # Without limits a hop visits the whole queue, and the crawl ends when nothing is left.
+    per_host: int | None = None
+    batch_size: int | None = None
+    max_pages: int | None = None
+    max_hops: int | None = None

@@ -215,9 +215,13 @@ def analyze(c: Column, config: IndexConfig = IndexConfig()) -> Column:
 
 
 def capped_tokens(text: Column, config: IndexConfig = IndexConfig()) -> Column:
-    """Tokens of a document; null if its text or its token list is over the cap.
+    """Tokens of a document; null if its text or its token list is over a cap that is set.
 
     The text is analysed only where it is within the cap, and once.
     """
-    tokens = F.when(F.length(text) <= config.max_chars, analyze(text, config))
+    tokens = analyze(text, config)
+    if config.max_chars is not None:
+        tokens = F.when(F.length(text) <= config.max_chars, tokens)
+    if config.max_tokens is None:
+        return tokens
     return let(tokens, lambda t: F.when(F.size(t) <= config.max_tokens, t))

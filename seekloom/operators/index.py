@@ -36,7 +36,7 @@ def ids_by_link(links: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def document_tokens(texts: DataFrame, config: IndexConfig = IndexConfig()) -> DataFrame:
-    """``texts(doc_id, text)`` -> ``(doc_id, tokens)``; null tokens over the caps."""
+    """``texts(doc_id, text)`` -> ``(doc_id, tokens)``; null tokens over caps that are set."""
     return texts.select("doc_id", capped_tokens(F.col("text"), config).alias("tokens"))
 
 
@@ -49,8 +49,8 @@ def token_rows(doc_tokens: DataFrame) -> DataFrame:
 def term_frequencies(doc_tokens: DataFrame) -> DataFrame:
     """``(doc_id, tokens)`` -> ``(word, doc_id, tf)``, without a shuffle.
 
-    A document is one row, and its tokens are capped, so its words are counted in
-    place: sort the tokens and take the lengths of equal runs.
+    A document is one row, so its words are counted in place: sort the tokens and take
+    the lengths of equal runs.
     """
 
     def run_starts(t: Column) -> Column:

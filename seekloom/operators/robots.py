@@ -19,7 +19,9 @@ def robots_rules(robots: DataFrame) -> DataFrame:
     lines = robots.select("base_url", F.posexplode(F.split("body", r"\r\n|\r|\n")).alias("at", "raw"))
     bare = F.trim(F.regexp_replace("raw", "#.*", ""))
     key = F.lower(F.trim(F.substring_index(bare, ":", 1)))
-    value = F.try_url_decode(F.replace(F.trim(F.regexp_extract(bare, r"^[^:]*:(.*)$", 1)), F.lit("+"), F.lit("%2B")))
+    raw_value = F.trim(F.regexp_extract(bare, r"^[^:]*:(.*)$", 1))
+    # A stray percent sign is no escape; such a value stays as it is, like such a path.
+    value = F.coalesce(F.try_url_decode(F.replace(raw_value, F.lit("+"), F.lit("%2B"))), raw_value)
     kind = (
         F.when(F.col("raw") == "", "blank")
         .when(~bare.contains(":"), None)

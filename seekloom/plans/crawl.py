@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,9 +58,10 @@ def crawl(
     config: CrawlConfig = CrawlConfig(),
     robots: DataFrame | None = None,
 ) -> CrawlState:
-    """Follow links from the frontier until it is empty or a limit is reached.
+    """Follow links from the frontier until it is empty, or a limit that is set is reached.
 
-    A hop takes the next URLs of the queue, at most so many per host. URLs that the
+    ``finished`` of the state tells which. A hop takes the queue, or the next URLs of it as
+    far as limits are set. URLs that the
     host limit held back move behind the rest of the queue, and new links behind
     those. The loop runs once per hop; every table stays distributed, and each
     hop's tables are stored, so a lost executor does not cost earlier hops.
@@ -74,11 +76,13 @@ def crawl(
     queue = cut_lineage(without_stored(state.frontier, known, "url"))
     done = known.where(F.col("reason").isNull()).count()
     hop = state.frontier.agg(F.coalesce(F.max("round"), F.lit(0)).alias("r")).first()["r"]
-    for step in range(config.max_hops):
-        size = min(config.batch_size, fr.room_left(config.max_pages, done))
-        if size == 0:
+    for step in itertools.count() if config.max_hops is None else range(config.max_hops):
+        room = None if config.max_pages is None else fr.room_left(config.max_pages, done)
+        sizes = [n for n in (config.batch_size, room) if n is not None]
+        if 0 in sizes:
             break
-        batch = cut_lineage(fr.next_batch(fr.within_host_cap(queue, config.per_host), size))
+        open_urls = queue if config.per_host is None else fr.within_host_cap(queue, config.per_host)
+        batch = cut_lineage(fr.next_batch(open_urls, min(sizes)) if sizes else open_urls)
         facts = batch.agg(
             F.count("*").alias("n"),
             F.sum(row_bytes(batch).cast("long")).alias("bytes"),

@@ -18,6 +18,11 @@ class CrawlState:
     rejected: DataFrame
     done: DataFrame
 
+    @property
+    def finished(self) -> bool:
+        """Whether nothing is left to visit; else a limit has stopped the crawl."""
+        return self.frontier.isEmpty()
+
 
 def seed_frontier(spark: SparkSession, seeds: Iterable[str]) -> DataFrame:
     """Start URLs in their order."""

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from seekloom.catalog import ORACLES, QUERIES
 
-SLOW = {"multi_hop_crawl", "stream_ingest", "stream_one_page_per_link", "index_in_two_steps", "bounded_crawl"}
+SLOW = {"multi_hop_crawl", "stream_ingest", "stream_one_page_per_link", "index_in_two_steps"}
 
 
 def rows_of(columns, rows):

@@ -67,7 +67,7 @@ def test_whole_crawl(spark, web):
 
 
 def test_host_cap_and_queue_order(spark, web):
-    state = run(spark, web, max_hops=2)
+    state = run(spark, web, max_hops=2, per_host=5, batch_size=10)
     # The second hop takes five of /1 ... /7 of the host and the other host's page.
     assert urls(state.done) == {"/0", "/1", "/4", "/5", "https://b.example/0"}
     queue = [r["url"].removeprefix(H) for r in state.frontier.orderBy("round", "seq").collect()]
