@@ -152,34 +152,43 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, words: int, percent: int)
 def components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for all nodes of links ``(a, b)``: the smallest node reachable.
 
-    Alternates two rounds: every node links its larger neighbours, then itself and its
-    smaller ones, to the smallest of them. The links end as stars around that node.
+    Every node links its larger neighbours, then itself and its smaller ones, to the smallest
+    of them, until the links are stars around that node.
     """
-
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
-
     edges = cut_lineage(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = state(edges)
     while True:
+        out = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+        if out.unionByName(edges.select("u").intersect(edges.select("v"))).isEmpty():
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.join(smallest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut_lineage(large.where("u != v").distinct())
+        large = large.where("u != v").distinct()
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = cut_lineage(small.where("u != v").distinct())
-        after = state(edges)
-        if after == before:
-            break
-        before = after
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+def extended(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``(node, component)`` with more links: those between components are merged."""
+    own = found.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
+    other = found.select(F.col("node").alias("b"), F.col("component").alias("component_b"))
+    joined = links.join(own, "a", "left").join(other, "b", "left")
+    between = joined.select(F.coalesce("component_a", "a").alias("a"), F.coalesce("component_b", "b").alias("b"))
+    between = cut_lineage(between.where("a != b").distinct())
+    if between.isEmpty():
+        return found
+    merged = components(between)
+    moved = found.join(merged.select(F.col("node").alias("component"), F.col("component").alias("into")), "component", "left")
+    moved = moved.select("node", F.coalesce("into", "component").alias("component"))
+    return cut_lineage(moved.unionByName(merged.join(found.select("node"), "node", "left_anti")))
+
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of buckets with several components: theirs, the bucket's largest, and its size."""
-    found = components(links).select(F.col("node").alias("rep"), "component")
+    found = found.select(F.col("node").alias("rep"), "component")
     names = [n for n in members.columns if n != "pick"]
     placed = cut_lineage(members.select(*names).join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
     parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -254,7 +263,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         return _confirmed(best.select("a", "b"), docs, words, percent)
 
     links = confirmed_best(members.where("rep != pick").select(F.col("rep").alias("a"), F.col("pick").alias("b")))
-    mixed = _mixed(members, links)
+    found = cut_lineage(components(links))
+    mixed = _mixed(members, found)
     own = _own_shingles(mixed.where(F.col("members") > LARGE).select("rep").distinct(), nodes, docs, words)
     # Only between members of large buckets is it known what they share.
     lone = F.when(F.col("members") > LARGE, F.col("own"))
@@ -264,9 +274,9 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     )
     able = F.col("shared") * 100 >= percent * F.col("size")
     outside = mixed.where((F.col("component") != F.col("largest")) & able)
-    links = links.unionByName(confirmed_best(outside.join(central, "bucket").select(F.col("rep").alias("a"), "b")))
+    found = extended(found, confirmed_best(outside.join(central, "bucket").select(F.col("rep").alias("a"), "b")))
 
-    mixed = cut_lineage(_mixed(mixed.select("bucket", "rep", "size", "shared"), links).where(able))
+    mixed = cut_lineage(_mixed(mixed.select("bucket", "rep", "size", "shared"), found).where(able))
     # The largest component of a bucket is not paired with itself.
     one = mixed.where("component != largest").select(
         "bucket", F.col("rep").alias("a"), F.col("component").alias("component_a"), F.col("shared").alias("shared_a"), F.col("size").alias("size_a")
@@ -276,9 +286,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     ordered = (F.col("component") == F.col("largest")) | (F.col("a") < F.col("rep"))
     across = one.join(mixed, (one["bucket"] == mixed["bucket"]) & (F.col("component_a") != F.col("component")) & ordered & possible)
     pairs = across.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-    links = links.unionByName(_confirmed(candidates(pairs).select("a", "b"), docs, words, percent))
-
-    found = cut_lineage(components(links)).select(F.col("node").alias("rep"), "component")
+    found = extended(found, _confirmed(candidates(pairs).select("a", "b"), docs, words, percent))
+    found = found.select(F.col("node").alias("rep"), "component")
     own = rows.select("doc_id", *sets).join(classes, sets, "left").join(found, "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return own.select(
