@@ -109,7 +109,7 @@ def nearest_words_of_all_words(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT token, coalesce(lemma, lower(word)) AS word, rank FROM near LEFT JOIN lemmas ON surface = lower(word)",
 )
 def normalized_neighbours(spark: SparkSession, folder: str) -> DataFrame:
-    lemmas = plural_lemmas(ix.vocabulary(postings(documents(spark, folder))))
+    lemmas = cut_lineage(plural_lemmas(ix.vocabulary(cut_lineage(postings(documents(spark, folder))))))
     near = ex.normalize_neighbours(_near(spark, folder, _words(spark, folder)), lemmas)
     return near.select("token", "word", F.col("rank").cast("long").alias("rank"))
 

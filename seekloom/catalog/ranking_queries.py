@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from seekloom.catalog import sql
 from seekloom.catalog.expansion_queries import CONFIG, TERMS_SQL, word_vectors
+from seekloom.catalog.text_queries import LEMMAS_SQL
 from seekloom.catalog.registry import document_index, documents, query, table, user_queries
 from seekloom.operators import expand as ex
+from seekloom.operators import index as ix
 from seekloom.operators import present as pr
 from seekloom.operators import rank as rk
+from seekloom.operators.lemmas import plural_lemmas
 from seekloom.config import IndexConfig
 from seekloom.plans import search as se
-from seekloom.plans.build import build_index, titles_and_links
+from seekloom.plans.build import build_index, postings, titles_and_links
 from seekloom.session import cut_lineage, new_folder
 from seekloom.sources.index_store import read_index
 from seekloom.sources.queries import read_queries, write_results
@@ -158,6 +161,31 @@ def search_other_bucket_count(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("rank").cast("long").alias("rank"), "doc_id", "link", F.round("score", 6).alias("score"))
 
 
+_LEMMATIZED = (
+    f"WITH {LEMMAS_SQL}, ltf AS (SELECT coalesce(lemma, word) AS word, doc_id, sum(tf)::BIGINT AS tf "
+    "FROM tf LEFT JOIN lemmas ON surface = word GROUP BY 1, 2), "
+    "lidf AS (SELECT word, log10((SELECT count(*) FROM documents) / count(*)) AS idf FROM ltf GROUP BY word), "
+    "terms AS (SELECT DISTINCT query_id, coalesce(lemma, w) AS word, 1.0::DOUBLE AS weight FROM "
+    f"(SELECT item_id AS query_id, unnest({sql.analyze('text')}) AS w FROM benchmark) LEFT JOIN lemmas ON surface = w), "
+    + _SCORED.replace("JOIN tf USING", "JOIN ltf AS tf USING").replace("JOIN idf USING", "JOIN lidf AS idf USING")
+)
+
+
+@query(
+    "search_lemmatized",
+    f"{_LEMMATIZED}, {_RANKED} SELECT query_id, rank, doc_id, {_RESULT} FROM ranked WHERE rank <= 100",
+)
+def search_lemmatized(spark: SparkSession, folder: str) -> DataFrame:
+    """Lemmas in the index and in the queries; the corpus is analysed once for them."""
+    lemmas = cut_lineage(plural_lemmas(ix.vocabulary(cut_lineage(postings(documents(spark, folder))))))
+    texts = titles_and_links(documents(spark, folder))
+    index = build_index(texts, new_folder(spark, "index"), lemmas=lemmas)
+    found = se.search(index, _items(spark, folder), lemmas=lemmas)
+    return found.select(
+        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "link", F.round("score", 6).alias("score")
+    )
+
+
 @query(
     "search_without_index",
     f"{_ITEM_SCORES}, {_RANKED} SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 100",

@@ -12,6 +12,7 @@ from seekloom.functions import text as tx
 from seekloom.operators import index as ix
 from seekloom.operators.lemmas import lemmatize_terms, plural_lemmas
 from seekloom.plans.build import postings
+from seekloom.session import cut_lineage
 
 
 def _cleaned(name: str, function, pattern_sql: str) -> None:
@@ -131,13 +132,12 @@ def split_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "drop_stop_words",
-    f"SELECT doc_id, len({sql.split('text')}) AS n_tokens, len({sql.keep_words(sql.split('text'))}) AS n_kept "
-    "FROM documents",
+    f"SELECT doc_id, len({sql.split('text')}) AS n_tokens, len(list_filter({sql.keep_words(sql.split('text'))}, "
+    "lambda w: regexp_matches(w, '[a-zA-Z0-9_]'))) AS n_kept FROM documents",
 )
 def drop_stop_words(spark: SparkSession, folder: str) -> DataFrame:
     tokens = documents(spark, folder).select("doc_id", tx.split_tokens(F.col("text")).alias("t"))
-    # Punctuation alone is no token, but raw words hold letters here.
-    kept = F.filter("t", lambda w: ~F.lower(w).isin(*fv.STOP_WORDS))
+    kept = tx.drop_stop_words(F.col("t"))
     return tokens.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.size(kept).cast("long").alias("n_kept"))
 
 
@@ -173,7 +173,7 @@ LEMMAS_SQL = f"{sql.TF}, words AS (SELECT DISTINCT word FROM tf), {_GUESSES}"
 
 @query("plural_lemmas", f"WITH {LEMMAS_SQL} SELECT surface, lemma FROM lemmas")
 def plurals(spark: SparkSession, folder: str) -> DataFrame:
-    return plural_lemmas(ix.vocabulary(postings(documents(spark, folder))))
+    return plural_lemmas(ix.vocabulary(cut_lineage(postings(documents(spark, folder)))))
 
 
 @query(
@@ -182,5 +182,5 @@ def plurals(spark: SparkSession, folder: str) -> DataFrame:
     "FROM tf LEFT JOIN lemmas ON surface = word GROUP BY 1, 2",
 )
 def lemmatized(spark: SparkSession, folder: str) -> DataFrame:
-    tf = postings(documents(spark, folder))
+    tf = cut_lineage(postings(documents(spark, folder)))
     return lemmatize_terms(tf, plural_lemmas(ix.vocabulary(tf)))
