@@ -30,7 +30,7 @@ SAMPLE_CHARS = 20_000
 #: Chunks of a document that one training step looks at, drawn anew each time.
 STEP_CHUNKS = 12
 MIN_STEPS = 600
-_SLICE_BYTES = 1024 * 1024
+_SLICE_BYTES = 512 * 1024
 
 Model = dict[str, np.ndarray]
 
