@@ -10,6 +10,7 @@ from seekloom.config import CrawlConfig
 from seekloom.operators import frontier as fr
 from seekloom.plans import build
 from seekloom.plans.crawl import crawl, discovered, survey_pages
+from seekloom.operators.robots import robots_rules, with_robots
 from seekloom.sources import crawl_state as cs
 from seekloom.streaming import ingest as ing
 
@@ -110,6 +111,13 @@ def test_a_host_with_most_urls_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in capped._jdf.queryExecution().executedPlan().toString()
 
 
+def test_robots_rule_with_a_stray_percent_sign(spark):
+    robots = spark.createDataFrame([("https://b.example", "User-agent: *\nDisallow: /100%")], "base_url string, body string")
+    visits = spark.createDataFrame([("https://b.example/100%/y",), ("https://b.example/10",)], "url string")
+    judged = with_robots(visits, robots_rules(robots)).orderBy("url").collect()
+    assert [r["allowed"] for r in judged] == [True, False]
+
+
 def test_queue_batches(spark):
     rows = [("c", 1, 0), ("a", 0, 1), ("b", 0, 0)]
     queue = spark.createDataFrame(rows, "url string, round int, seq long")
