@@ -22,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seekloom.operators.joins import lookup_join
 from seekloom.session import cut_lineage, new_folder
 
 #: Rows of a digest that are compared with one copy of the row that stays.
@@ -111,7 +112,8 @@ def _checked(rows: DataFrame, state: DataFrame, digest: Callable[[Column], Colum
     A digest with very many rows is compared in parts, each with a copy of that row.
     """
     hit = state.where(F.col("hits") > 1).select("digest", "entry", "hits")
-    texts = rows.withColumn("bytes", normalized(F.col("text"))).withColumn("digest", digest(F.col("bytes")))
+    # The normalised text alone crosses the shuffle.
+    texts = facts(rows, digest, normalized(F.col("text")).alias("bytes"))
     found = cut_lineage(
         texts.join(hit, "digest").select(
             "digest",
@@ -119,7 +121,7 @@ def _checked(rows: DataFrame, state: DataFrame, digest: Callable[[Column], Colum
             "file",
             "at",
             "bytes",
-            F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
+            "n_chars",
             ((F.col("file") == F.col("entry.file")) & (F.col("at") == F.col("entry.at"))).alias("stays"),
             F.ceil(F.col("hits") / ROWS_PER_COPY).cast("int").alias("copies"),
         )
@@ -184,5 +186,5 @@ def drop_duplicates(documents: DataFrame) -> DataFrame:
         placed = documents.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).alias("__place"))
     except AnalysisException:
         return drop_duplicates(cut_lineage(documents))
-    dropped = deduplicate(documents).where(~F.col("kept")).select(F.struct("file", "at").alias("__place"))
-    return placed.join(dropped, "__place", "left_anti").drop("__place")
+    dropped = cut_lineage(deduplicate(documents).where(~F.col("kept")).select(F.struct("file", "at").alias("__place")))
+    return lookup_join(placed, dropped, ["__place"], "left_anti").drop("__place")

@@ -30,7 +30,7 @@ SAMPLE_ROW_BYTES = 2_048
 SAMPLE_BYTES = 24 * 1024
 BLOCK_BYTES = 512
 UNDETERMINED = "und"
-_SLICE_BYTES = 2 * 1024 * 1024
+_SLICE_BYTES = 1024 * 1024
 
 _APART = re.compile(r"[\W\d_]+")
 _parsers: dict[str, Parser] = {}
@@ -126,23 +126,25 @@ class Parser:
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language of each text, and by how much the runner-up needs more phrases."""
-        plain = [letters(t) for t in texts]
         found, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        rows = [i for i, p in enumerate(plain) if p and self.languages]
-        start = 0
-        while start < len(rows):
-            end, size = start, 0
-            while end < len(rows) and (end == start or size + len(plain[rows[end]]) <= _SLICE_BYTES):
-                size += len(plain[rows[end]])
+        end = 0
+        while end < len(texts) and self.languages:
+            chosen, plain, size = [], [], 0
+            while end < len(texts) and size <= _SLICE_BYTES:
+                own = letters(texts[end])
+                if own:
+                    chosen.append(end)
+                    plain.append(own)
+                size += len(own)
                 end += 1
-            chosen = rows[start:end]
-            counts = self.phrases([plain[i] for i in chosen])
+            if not chosen:
+                continue
+            counts = self.phrases(plain)
             best = counts.argmin(axis=1)
             ordered = np.sort(counts, axis=1)
             score = 1 - ordered[:, 0] / ordered[:, 1] if len(self.languages) > 1 else np.ones(len(chosen))
             for i, b, s in zip(chosen, best.tolist(), score.tolist(), strict=True):
                 found[i], scores[i] = self.languages[b], s
-            start = end
         return found, scores
 
 

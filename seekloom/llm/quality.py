@@ -30,7 +30,7 @@ SAMPLE_CHARS = 20_000
 #: Chunks of a document that one training step looks at, drawn anew each time.
 STEP_CHUNKS = 12
 MIN_STEPS = 600
-_SLICE_BYTES = 512 * 1024
+_SLICE_BYTES = 256 * 1024
 
 Model = dict[str, np.ndarray]
 
@@ -85,15 +85,14 @@ def probabilities(model: Model, texts: list[bytes]) -> np.ndarray:
 
 def score_texts(model: Model, texts: list[str | None]) -> np.ndarray:
     """Scores in slices of bounded size; every text is scored whole."""
-    data = [(t or "").encode() for t in texts]
-    out, start = [], 0
-    while start < len(data):
-        end, size = start, 0
-        while end < len(data) and (end == start or size + len(data[end]) + BLOCK <= _SLICE_BYTES):
-            size += len(data[end]) + BLOCK
+    out, end = [], 0
+    while end < len(texts):
+        data, size = [], 0
+        while end < len(texts) and size <= _SLICE_BYTES:
+            data.append((texts[end] or "").encode())
+            size += len(data[-1]) + BLOCK
             end += 1
-        out.append(probabilities(model, data[start:end]))
-        start = end
+        out.append(probabilities(model, data))
     return np.concatenate(out) if out else np.empty(0)
 
 
