@@ -35,7 +35,7 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(WHITESPACE)] = True
 
 
-@functools.lru_cache(maxsize=1)
+@functools.lru_cache(maxsize=3)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(size, _RADIX, dtype=np.uint64), np.full(size, pow(_RADIX, -1, 2**64), dtype=np.uint64)
     up[0] = down[0] = 1

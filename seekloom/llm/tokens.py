@@ -9,11 +9,13 @@ characters, or which name a special token.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from seekloom.llm.hashing import range_hashes
 
@@ -67,11 +69,28 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[int, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known words by hash, in the order they were met; the ids of all of them in one array."""
+        self.hashes, self.starts, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.used = np.empty(1 << 16, "<u4"), 0
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and the number of each text's ids."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), "<u4", int(sizes.sum())), sizes
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        ids, sizes = self._library(words)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.hashes = np.concatenate([self.hashes, hashes])
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.used += len(ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text."""
@@ -88,30 +107,27 @@ class Encoder:
         real = buffer[starts] != 0
         starts, ends = starts[real], ends[real]
         coded = pa.array(range_hashes(buffer, starts, ends)).dictionary_encode()
-        at, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        first = np.full(len(distinct), -1, dtype=np.int64)
-        first[at[::-1]] = np.arange(len(at))[::-1]
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        words = self.words
-        new = [i for i, h in enumerate(distinct) if h not in words]
-        spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
-        ids = self._library([joined[s:e].decode() for s, e in spans])
-        words.update(zip([distinct[i] for i in new], ids, strict=True))
-        pieces = [words[h] for h in distinct]
-        flat = np.frombuffer(b"".join(pieces), dtype="<u4")
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        counts = sizes[at]
+        at, distinct = coded.indices.to_numpy(), coded.dictionary
+        if len(self.hashes) > REMEMBERED:
+            self._forget()
+        unknown = pc.index_in(distinct, pa.array(self.hashes)).is_null().to_numpy(zero_copy_only=False)
+        if unknown.any():
+            first = np.empty(len(distinct), dtype=np.int64)
+            first[at[::-1]] = np.arange(len(at))[::-1]
+            first = first[unknown]
+            spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+            self._learn(distinct.to_numpy()[unknown], [joined[s:e].decode() for s, e in spans])
+        known = pc.index_in(distinct, pa.array(self.hashes)).to_numpy()[at]
+        counts = self.sizes[known]
         into = np.concatenate([[0], np.cumsum(counts)])
-        gathered = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - into[:-1], counts) + np.arange(into[-1])]
-        bounds = into[np.concatenate([[0], np.searchsorted(starts, text_ends)])]
+        gathered = self.ids[np.repeat(self.starts[known] - into[:-1], counts) + np.arange(into[-1])]
+        bounds = into[np.concatenate([[0], np.searchsorted(starts, text_ends)])].tolist()
         odd_before = np.concatenate([[0], np.cumsum(odd)])
         is_odd = odd_before[text_ends + 1] > odd_before[text_ends - lengths]
         is_odd |= np.fromiter(map(self._unusual, texts, data), bool, len(texts))
         out = [gathered[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
-        whole = np.flatnonzero(is_odd).tolist()
-        for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = np.frombuffer(ids, "<u4")
+        for i in np.flatnonzero(is_odd).tolist():
+            out[i] = self._library([texts[i]])[0]
         return out
 
     def _unusual(self, text: str, data: bytes) -> bool:
