@@ -16,9 +16,12 @@ from seekloom.llm import (
     near_dedup,
     packing,
     piece_sampling,
+    prefix_trie,
     quality,
+    quality_rules,
     token_files,
     url_filter,
+    whitening,
 )
 from seekloom.session import new_folder
 
@@ -169,3 +172,62 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     token_files.write_token_files(_documents(spark, folder), path, TOKENIZER)
     return token_files.token_digests(token_files.read_token_files(spark, path))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"), "vec_id", "embedding", components=4)
+
+
+#: Turns that conversations have from the first of their group of ids, at most.
+HEAD_TURNS = 3
+GROUP_IDS = 20
+
+_BITS = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_CRC32 = f"""xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, i: {_BITS})), 4294967295)"""
+
+
+@query(
+    "op12_prefix_trie",
+    f"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    c AS (
+        SELECT conv_id, list({{'turn': sha256(length(r) || ':' || r || x), 'words': len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))}}
+            ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || x)) AS own, {_CRC32} % 4 AS h
+        FROM t GROUP BY conv_id
+    ),
+    b AS (
+        SELECT c.conv_id, list_concat(coalesce(list_slice(p.own, 1, c.h), []), list_slice(c.own, c.h + 1, len(c.own))) AS turns
+        FROM c LEFT JOIN c AS p ON p.conv_id = c.conv_id - c.conv_id % 20
+    ),
+    n AS (SELECT conv_id, len(turns) AS size, unnest(range(0, len(turns) + 1)) AS d, turns FROM b),
+    nodes AS (
+        SELECT list_slice(turns, 1, d) AS path, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(any_value(turns[d].words), 0) AS saved,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = d), '')) AS ends_sha256
+        FROM n GROUP BY ALL
+    ),
+    children AS (SELECT list_slice(path, 1, d - 1) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+    full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+    above AS (SELECT path, n_children, saved, unnest(range(0, d + 1)) AS k FROM full_nodes),
+    sums AS (SELECT list_slice(path, 1, k) AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY ALL)
+    SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+    FROM full_nodes AS f JOIN sums USING (path) LEFT JOIN nodes AS p ON f.d > 0 AND p.path = list_slice(f.path, 1, f.d - 1)
+    """,
+)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.turns_in_order(spark.read.parquet(f"{folder}/conversations.parquet"))
+    base = F.col("conv_id") - F.col("conv_id") % GROUP_IDS
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % (HEAD_TURNS + 1)
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns, base, head, HEAD_TURNS))
+
+
+@query("op13_quality_rules")
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Learned from labelled rows whose crc32 modulo 3 is not 1, so the others can tell how good it is."""
+    documents = _documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(_remainder(3) != 1).select("doc_id", F.col("quality").alias("label"))
+    judged = quality_rules.judge(documents, quality_rules.learn(documents, labels))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "score")
