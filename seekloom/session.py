@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: str | None = None
+#: Scratch folders that are open, the innermost last.
+_scratch: ContextVar[tuple[str, ...]] = ContextVar("scratch", default=())
 
 
 def local_session(cores: str = "8", app_name: str = "seekloom") -> SparkSession:
@@ -43,17 +49,57 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, label: str, up: int = 0) -> str:
+    """A fresh path under the shared folder, in the innermost scratch folder or ``up`` levels above it."""
+    open_ = _scratch.get()
+    parents = open_[: len(open_) - up]
+    return f"{(parents[-1] if parents else shared_folder(spark)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, up: int = 0) -> DataFrame:
     """Write the rows to the shared folder and read them back from there.
 
     The result survives the loss of executors and no longer depends on its inputs.
     """
     spark = df.sparkSession
-    path = new_folder(spark, "rows")
+    path = new_folder(spark, "rows", up)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, as the location of a database that is dropped."""
+    name = f"seekloom_{uuid.uuid4().hex}"
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{quoted}'")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str = "scratch", delete: bool = True) -> Iterator[str]:
+    """A folder for what is stored meanwhile; it is deleted at the end, or left to the caller.
+
+    What is to last longer is stored with ``cut_lineage(..., up=1)``.
+    """
+    folder = new_folder(spark, label)
+    token = _scratch.set((*_scratch.get(), folder))
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        if delete:
+            remove_folder(spark, folder)
+
+
+def scratched(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Store a function's result; what it stored on the way is deleted.
+
+    Its first argument is a DataFrame.
+    """
+
+    @functools.wraps(function)
+    def run(df: DataFrame, *args, **more) -> DataFrame:
+        with scratch(df.sparkSession):
+            return cut_lineage(function(df, *args, **more), up=1)
+
+    return run
