@@ -11,6 +11,7 @@ from seekloom import schemas
 from seekloom.config import IndexConfig, SearchConfig
 from seekloom.operators import index as ix
 from seekloom.operators import rank as rk
+from seekloom.operators.blocks import best_by_block
 from seekloom.operators.expand import distinct_query_tokens, expanded_terms, query_tokens
 from seekloom.operators.joins import BROADCAST_BYTES, lookup_join, row_bytes
 from seekloom.operators.ordering import with_position
@@ -88,8 +89,12 @@ def search_terms(
             "query_id", "doc_id", "score", (F.col("position") - F.col("first") + 1).alias("rank")
         )
         return rk.ranked_results(ranked, index.documents)
-    ranked = rk.top_ranked(scores, config.limit)
-    most = facts.n_queries * config.limit
+    return _top_results(index, scores, config.limit, facts)
+
+
+def _top_results(index: Index, scores: DataFrame, limit: int, facts: TermFacts) -> DataFrame:
+    ranked = rk.top_ranked(scores, limit)
+    most = facts.n_queries * limit
     if most <= _FEW_ROWS:
         rows = ranked.collect()
         found = index.documents.where(F.col("doc_id").isin([r["doc_id"] for r in rows]))
@@ -97,6 +102,23 @@ def search_terms(
     return rk.ranked_results(ranked, index.documents, small=most * _RANKED_ROW_BYTES <= BROADCAST_BYTES)
 
 
+def search_in_blocks(
+    index: Index, terms: DataFrame, config: SearchConfig = SearchConfig(), facts: TermFacts | None = None
+) -> DataFrame:
+    """As ``search_terms`` with a limit, for terms that fit in a broadcast.
+
+    Facts are looked up once per word, and postings are shuffled once per document instead of
+    once per query; only the best of each block of documents go on.
+    """
+    facts = facts or measure_terms(terms, index.buckets)
+    tf, idf = _index_slice(index, facts)
+    gains = cut_lineage(rk.with_gain(rk.idf_of(terms, idf, facts.small)))
+    held = lookup_join(idf.select("word", "df"), gains.select("word").distinct(), ["word"], "left_semi", small=facts.small)
+    n_postings = held.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    scores = best_by_block(gains, tf, n_postings, index.size.first()["n"], config.limit, config)
+    return _top_results(index, scores, config.limit, facts)
+
+
 def search(
     index: Index,
     queries: DataFrame,
@@ -107,11 +129,14 @@ def search(
 ) -> DataFrame:
     """``queries(query_id, text)`` -> ranked documents of all queries.
 
-    The weighted terms are stored first: they are small, and every later decision
-    reads their real size.
+    The weighted terms are stored first, and every later decision reads their real size. Terms
+    that fit in a broadcast are scored in blocks of documents, others by a shuffled join.
     """
     terms = cut_lineage(expanded_terms(queries, vectors, lemmas, config, index_config))
-    return search_terms(index, terms, config)
+    facts = measure_terms(terms, index.buckets)
+    if config.limit is not None and facts.small:
+        return search_in_blocks(index, terms, config, facts)
+    return search_terms(index, terms, config, facts)
 
 
 def search_one(
