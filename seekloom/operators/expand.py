@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from seekloom.config import IndexConfig, SearchConfig
 from seekloom.functions.text import analyze
 from seekloom.operators.joins import BROADCAST_BYTES, fits_broadcast
 from seekloom.operators.lemmas import lemmatize
+from seekloom.session import cut_lineage
 
 _NEIGHBOURS = "token string, word string, cos double"
 
@@ -43,13 +45,20 @@ def distinct_query_tokens(tokens: DataFrame, config: SearchConfig = SearchConfig
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
     """``(word, vector)`` scaled to length one, as doubles; zero vectors are left out."""
-    values = vectors.select("word", F.col("vector").cast("array<double>").alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    return (
-        values.select("word", "v", norm.alias("norm"))
-        .where(F.col("norm") > 0)
-        .select("word", F.transform("v", lambda x: x / F.col("norm")).alias("vector"))
-    )
+
+    def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("v")
+            values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy().astype(np.int64)
+            sizes = np.diff(ends)
+            rows = np.flatnonzero(sizes)
+            norms = np.sqrt([float(values[ends[i] : ends[i + 1]] @ values[ends[i] : ends[i + 1]]) for i in rows.tolist()])
+            rows, norms = rows[norms > 0], norms[norms > 0]
+            scaled = [values[ends[i] : ends[i + 1]] / norm for i, norm in zip(rows.tolist(), norms.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("word").take(pa.array(rows)), pa.array(scaled, pa.list_(pa.float64()))], names=["word", "vector"])
+
+    values = vectors.where(F.col("vector").isNotNull()).select("word", F.col("vector").cast("array<double>").alias("v"))
+    return values.mapInArrow(scale, "word string, vector array<double>")
 
 
 def _neighbour_rows(found: list[tuple[str, str, float]]) -> pd.DataFrame:
@@ -67,6 +76,10 @@ def _neighbour_rows(found: list[tuple[str, str, float]]) -> pd.DataFrame:
 _TOKEN_TILE, _WORD_TILE = 512, 4_096
 #: Cosines are compared after rounding, as their last bits depend on the shape of the product.
 _DIGITS = 10
+#: A rounded cosine and a word's place make one number, larger for nearer and earlier words.
+_PLACE_BITS = 29
+_LAST_PLACE = (1 << _PLACE_BITS) - 1
+_NONE = np.iinfo(np.int64).min
 
 
 def _best(tokens: list[str], queries: np.ndarray, words: np.ndarray, vectors: np.ndarray, n: int) -> pd.DataFrame:
@@ -74,23 +87,33 @@ def _best(tokens: list[str], queries: np.ndarray, words: np.ndarray, vectors: np
 
     Works in tiles and keeps the best so far of each token.
     """
-    order = np.argsort(words.astype(str), kind="stable")
+    words = words.astype(str)
+    order = np.argsort(words, kind="stable")
     words, vectors = words[order], vectors[order]
     found = []
     for first in range(0, len(tokens), _TOKEN_TILE):
-        names = tokens[first : first + _TOKEN_TILE]
-        kept: list[list[tuple[float, int]]] = [[] for _ in names]
+        names = np.array(tokens[first : first + _TOKEN_TILE], dtype=str)
+        own = np.searchsorted(words, names)
+        own = np.where(words[np.minimum(own, len(words) - 1)] == names, own, -1)
+        kept = np.full((len(names), n), _NONE)
         for start in range(0, len(words), _WORD_TILE):
             product = queries[first : first + _TOKEN_TILE] @ vectors[start : start + _WORD_TILE].T
-            for row, (token, cosines) in enumerate(zip(names, np.round(product, _DIGITS), strict=True)):
-                near = np.arange(len(cosines))
-                if n + 1 < len(cosines):
-                    near = np.flatnonzero(cosines >= np.partition(cosines, len(cosines) - n - 1)[len(cosines) - n - 1])
-                near = near[np.argsort(-cosines[near], kind="stable")][: n + 1]
-                new = [(-float(cosines[i]), start + int(i)) for i in near if words[start + i] != token]
-                kept[row] = sorted(kept[row] + new)[:n]
-        found += [(token, words[i], -c) for token, own in zip(names, kept, strict=True) for c, i in own]
-    return _neighbour_rows(found)
+            places = np.arange(start, start + product.shape[1])
+            keys = (np.rint(product * 10.0**_DIGITS).astype(np.int64) << _PLACE_BITS) + (_LAST_PLACE - places)
+            inside = np.flatnonzero((own >= start) & (own < start + product.shape[1]))
+            keys[inside, own[inside] - start] = _NONE
+            if keys.shape[1] > n:
+                keys = np.partition(keys, keys.shape[1] - n, axis=1)[:, -n:]
+            kept = np.concatenate([kept, keys], axis=1)
+            if kept.shape[1] > n:
+                kept = np.partition(kept, kept.shape[1] - n, axis=1)[:, -n:]
+        row, column = np.nonzero(kept != _NONE)
+        best = kept[row, column]
+        found.append((names[row], words[_LAST_PLACE - (best & _LAST_PLACE)], (best >> _PLACE_BITS) / 10.0**_DIGITS))
+    if not found:
+        return _neighbour_rows([])
+    token, word, cos = (np.concatenate(part) for part in zip(*found, strict=True))
+    return pd.DataFrame({"token": token.astype(object), "word": word.astype(object), "cos": cos})
 
 
 def nearest_words(tokens: DataFrame, vectors: DataFrame, n: int, max_bytes: int = BROADCAST_BYTES // 4) -> DataFrame:
@@ -104,7 +127,8 @@ def nearest_words(tokens: DataFrame, vectors: DataFrame, n: int, max_bytes: int
     """
     if n < 1:
         return tokens.sparkSession.createDataFrame([], _NEIGHBOURS + ", rank int")
-    unit = unit_vectors(vectors)
+    # Stored once, as sizes, tokens' vectors and all vectors are read one after the other.
+    unit = cut_lineage(unit_vectors(vectors))
     names = tokens.select(F.col("token").alias("name")).distinct()
     wanted = unit.join(names, F.col("word") == F.col("name"), "left_semi")
     size = wanted.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("vector") * 8), F.lit(0)).alias("bytes")).first()
