@@ -23,10 +23,7 @@ def _arriving_pages(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_one_page_per_link", "SELECT url AS link, length(html) AS n_chars FROM pages")
 def stream_one_page_per_link(spark: SparkSession, folder: str) -> DataFrame:
     path, checkpoint = new_folder(spark, "unique"), new_folder(spark, "checkpoint")
-    unique = ing.one_per_link_stream(_arriving_pages(spark, folder))
-    unique.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True
-    ).start().awaitTermination()
+    ing.start_unique(_arriving_pages(spark, folder), path, checkpoint).awaitTermination()
     return spark.read.parquet(path).select("link", F.length("html").cast("long").alias("n_chars"))
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import functools
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from seekloom import schemas
 from seekloom.config import IndexConfig
@@ -27,10 +30,54 @@ def read_page_stream(spark: SparkSession, path: str, files_per_trigger: int | No
     return reader.parquet(path)
 
 
+class FirstPage(StatefulProcessor):
+    """Gives a link's page when the link is met first; its state is the hash of that page."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first", "page_hash long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        # Of several pages in one batch that with the smallest hash, as in a page store.
+        best = min(((h, html) for part in rows for h, html in zip(part["page_hash"], part["html"], strict=True)))
+        if not self.first.exists():
+            self.first.update((int(best[0]),))
+            yield pd.DataFrame({"link": [key[0]], "html": [best[1]]})
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start meanwhile keep their state in RocksDB, on disk, and not in the heap."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def one_per_link_stream(pages: DataFrame) -> DataFrame:
-    """One row per link over the whole stream. The state holds every link seen, so
-    use it for bounded streams; :func:`ingest_batch` keeps no state."""
-    return pages.where(F.col("html").isNotNull()).dropDuplicates(["link"])
+    """One row per link over the whole stream, from a state with an entry for every link.
+
+    The stream has to be started within :func:`state_on_disk`. Started again from its
+    checkpoint it knows the links of earlier runs. :func:`ingest_batch` keeps no state.
+    """
+    valid = pages.where(F.col("html").isNotNull() & F.col("link").isNotNull())
+    keyed = valid.select("link", "html", F.xxhash64("html").alias("page_hash")).groupBy("link")
+    return keyed.transformWithStateInPandas(FirstPage(), "link string, html string", "Append", "None")
+
+
+def start_unique(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the first page of every link of a stream that has arrived."""
+    with state_on_disk(pages.sparkSession):
+        writer = one_per_link_stream(pages).writeStream.format("parquet").option("path", path)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _stored_pages(spark: SparkSession, path: str) -> DataFrame:
