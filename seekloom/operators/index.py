@@ -82,8 +82,13 @@ def corpus_size(documents: DataFrame) -> DataFrame:
 
 def inverse_frequencies(tf: DataFrame, documents: DataFrame) -> DataFrame:
     """``(word, df, idf)`` with idf = log10(n / df)."""
+    return idf_of_frequencies(document_frequencies(tf), documents)
+
+
+def idf_of_frequencies(df: DataFrame, documents: DataFrame) -> DataFrame:
+    """``(word, df)`` with the idf."""
     n = corpus_size(documents).scalar()
-    return document_frequencies(tf).select("word", "df", F.log10(n / F.col("df")).alias("idf"))
+    return df.select("word", "df", F.log10(n / F.col("df")).alias("idf"))
 
 
 def vocabulary(tf: DataFrame) -> DataFrame:

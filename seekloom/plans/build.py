@@ -51,13 +51,17 @@ def build_index(
     path: str,
     config: IndexConfig = IndexConfig(),
     lemmas: DataFrame | None = None,
+    tf: DataFrame | None = None,
 ) -> store.Index:
-    """Rebuild the index at ``path`` from ``(doc_id, link, title, description, text)``."""
+    """Rebuild the index at ``path`` from ``(doc_id, link, title, description, text)``.
+
+    Postings that were counted before may be given as ``tf``.
+    """
     spark = documents.sparkSession
     store.reset_index(spark, path, config)
     store.write_documents(ix.documents_table(documents, F.col("doc_id")), path)
     check_documents(spark, path)
-    store.write_postings(postings(documents, config, lemmas), path, config)
+    store.write_postings(postings(documents, config, lemmas) if tf is None else tf, path, config)
     store.write_frequencies(spark, path)
     return store.read_index(spark, path)
 

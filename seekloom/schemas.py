@@ -21,6 +21,11 @@ TERM_FREQUENCIES = T.StructType([
     T.StructField("tf", T.LongType(), False),
 ])
 
+DOCUMENT_FREQUENCIES = T.StructType([
+    T.StructField("word", T.StringType(), False),
+    T.StructField("df", T.LongType(), False),
+])
+
 INVERSE_FREQUENCIES = T.StructType([
     T.StructField("word", T.StringType(), False),
     T.StructField("df", T.LongType(), False),

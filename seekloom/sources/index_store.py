@@ -65,11 +65,17 @@ def write_postings(tf: DataFrame, path: str, config: IndexConfig = IndexConfig()
     laid_out.hint("rebalance", "word_bucket").sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(
         "word_bucket"
     ).parquet(f"{path}/tf/batch={batch}")
+    written = tf.sparkSession.read.schema(schemas.TERM_FREQUENCIES).parquet(f"{path}/tf/batch={batch}")
+    ix.document_frequencies(written).write.mode("overwrite").parquet(f"{path}/df/batch={batch}")
 
 
 def write_frequencies(spark: SparkSession, path: str) -> None:
-    """Compute idf from what is stored. It depends on all documents, so it is never patched."""
-    idf = ix.inverse_frequencies(read_postings(spark, path), read_documents(spark, path))
+    """Compute idf from the batches' document frequencies, which add up; postings are not read.
+
+    It depends on all documents, so it is never patched.
+    """
+    parts = spark.read.schema(schemas.stored(schemas.DOCUMENT_FREQUENCIES)).parquet(f"{path}/df")
+    idf = ix.idf_of_frequencies(parts.groupBy("word").agg(F.sum("df").alias("df")), read_documents(spark, path))
     idf.sortWithinPartitions("word").write.mode("overwrite").parquet(f"{path}/idf")
 
 
@@ -102,6 +108,7 @@ def reset_index(spark: SparkSession, path: str, config: IndexConfig = IndexConfi
     for name, schema in (
         ("documents", schemas.stored(schemas.DOCUMENTS)),
         ("tf", schemas.stored(schemas.TERM_FREQUENCIES, "word_bucket")),
+        ("df", schemas.stored(schemas.DOCUMENT_FREQUENCIES)),
     ):
         spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("batch").parquet(f"{path}/{name}")
     spark.createDataFrame([], schemas.INVERSE_FREQUENCIES).write.mode("overwrite").parquet(f"{path}/idf")
