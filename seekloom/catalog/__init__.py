@@ -15,6 +15,7 @@ from seekloom.catalog import (  # noqa: E402,F401  isort: skip
     stream_queries,
     text_queries,
     url_queries,
+    vector_queries,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

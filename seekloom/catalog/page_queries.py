@@ -15,7 +15,7 @@ from seekloom.operators import html as hw
 from seekloom.operators import index as ix
 from seekloom.plans.build import parsed_documents
 from seekloom.session import new_folder
-from seekloom.sources.pages import one_per_link, read_pages, write_pages
+from seekloom.sources.pages import one_per_link, read_pages, read_vectors, write_pages
 
 _COPIES = "copies AS (SELECT page_id, string_split(url, '#')[1] AS link, html FROM pages UNION ALL SELECT page_id + 1000000, string_split(url, '#')[1], NULL FROM pages)"
 
@@ -218,5 +218,26 @@ def rejected_pages_by_reason(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("vector_rows", "SELECT vec_id, len(embedding) AS n_values FROM embeddings")
 def vector_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored as word vectors and read back; words are ids here."""
+    path = new_folder(spark, "vectors")
     rows = table(spark, folder, "embeddings")
-    return rows.select("vec_id", F.size("embedding").cast("long").alias("n_values"))
+    rows.select(F.col("vec_id").cast("string").alias("word"), F.col("embedding").alias("vector")).write.parquet(path)
+    return read_vectors(spark, path).select(F.col("word").cast("long").alias("vec_id"), F.size("vector").cast("long").alias("n_values"))
+
+
+def _described(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages with a description and images that name their link."""
+    head = F.concat(F.lit('</title><meta name="description" content="about '), F.col("link"), F.lit('">'))
+    image = F.concat(F.lit('<article><img src="a.png" alt="seen at '), F.col("link"), F.lit('"><img alt=""><img src="b.png">'))
+    html = F.replace(F.replace(F.col("html"), F.lit("</title>"), head), F.lit("<article>"), image)
+    return pages(spark, folder).withColumn("html", html)
+
+
+@query("meta_descriptions_of_described_pages", "SELECT page_id, 'about ' || url AS description FROM pages")
+def meta_descriptions_of_described_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return hw.parse_pages(_described(spark, folder), "description").select("page_id", "description")
+
+
+@query("image_texts_of_described_pages", "SELECT page_id, 'seen at ' || url AS alt FROM pages WHERE html LIKE '%<article>%'")
+def image_texts_of_described_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return hw.parse_pages(_described(spark, folder), "alts").select("page_id", F.explode("alts").alias("alt"))

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from seekloom import fixed_values as fv
 from seekloom.catalog import sql
 from seekloom.catalog.page_queries import _BODY_TEXT
-from seekloom.catalog.registry import documents, pages, query, table, user_queries
+from seekloom.catalog.registry import document_index, documents, pages, query, table, user_queries
 from seekloom.functions import snippets as sn
 from seekloom.operators import index as ix
 from seekloom.operators import present as pr
 from seekloom.plans.build import parsed_documents
+from seekloom.session import new_folder
+from seekloom.sources.index_store import read_documents, write_documents
 
 _HEAD = "CASE WHEN length(left(text, 512)) >= 40 THEN {fold} END".format(fold=sql.fold("left(text, 512)"))
 
@@ -55,6 +57,16 @@ def document_summaries(spark: SparkSession, folder: str) -> DataFrame:
     return pr.summarize_texts(documents(spark, folder)).select("doc_id", "summary")
 
 
+@query("stored_summaries", _summary("documents", "doc_id"))
+def stored_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """Summaries written into the documents of an index and read from there, as results show them."""
+    index = document_index(spark, folder)
+    summaries = pr.summarize_texts(documents(spark, folder)).select("doc_id", "summary")
+    path = new_folder(spark, "documents")
+    write_documents(pr.documents_with_summaries(index.documents, summaries), path)
+    return read_documents(spark, path).select("doc_id", "summary")
+
+
 @query("page_summaries", _summary(f"(SELECT page_id, {_BODY_TEXT} AS text FROM pages)", "page_id"))
 def page_summaries(spark: SparkSession, folder: str) -> DataFrame:
     return pr.summarize_pages(pages(spark, folder)).select("page_id", "summary")

@@ -8,19 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seekloom.catalog import sql
-from seekloom.catalog.expansion_queries import CONFIG, TERMS_SQL, word_vectors
+from seekloom.catalog.expansion_queries import CONFIG, EXPANSION_WEIGHTS_SQL, KEPT_SQL, NEAR_SQL, TERMS_SQL, TOKEN_WEIGHTS_SQL, word_vectors
 from seekloom.catalog.text_queries import LEMMAS_SQL
 from seekloom.catalog.registry import document_index, documents, query, table, user_queries
 from seekloom.operators import expand as ex
 from seekloom.operators import index as ix
 from seekloom.operators import present as pr
 from seekloom.operators import rank as rk
-from seekloom.operators.lemmas import plural_lemmas
+from seekloom.operators.lemmas import lemmatize_terms, plural_lemmas
 from seekloom.config import IndexConfig
 from seekloom.plans import search as se
 from seekloom.plans.build import build_index, postings, titles_and_links
 from seekloom.session import cut_lineage, new_folder
-from seekloom.sources.index_store import read_index
+from seekloom.sources.index_store import Index, read_index
 from seekloom.sources.queries import read_queries, write_results
 
 _ITEMS = (
@@ -176,16 +176,54 @@ _LEMMATIZED = (
     f"{_LEMMATIZED}, {_RANKED} SELECT query_id, rank, doc_id, {_RESULT} FROM ranked WHERE rank <= 100",
 )
 def search_lemmatized(spark: SparkSession, folder: str) -> DataFrame:
-    """Lemmas in the index and in the queries; the corpus is analysed once for them."""
-    lemmas = cut_lineage(plural_lemmas(ix.vocabulary(cut_lineage(postings(documents(spark, folder))))))
-    texts = titles_and_links(documents(spark, folder))
-    index = build_index(texts, new_folder(spark, "index"), lemmas=lemmas)
+    """Lemmas in the index and in the queries."""
+    index, lemmas = _lemmatized_index(spark, folder)
     found = se.search(index, _items(spark, folder), lemmas=lemmas)
     return found.select(
         "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "link", F.round("score", 6).alias("score")
     )
 
 
+def _lemmatized_index(spark: SparkSession, folder: str) -> tuple[Index, DataFrame]:
+    """An index by lemma and the lemmas; texts are analysed once for both."""
+    texts = documents(spark, folder)
+    tf = cut_lineage(postings(texts))
+    lemmas = cut_lineage(plural_lemmas(ix.vocabulary(tf)))
+    return build_index(titles_and_links(texts), new_folder(spark, "index"), tf=lemmatize_terms(tf, lemmas)), lemmas
+
+
+_JOINT = (
+    f"WITH {LEMMAS_SQL}, idf AS (SELECT word, count(*) AS df FROM tf GROUP BY word), {sql.QUERY_TOKENS}, "
+    "lqtok AS (SELECT query_id, coalesce(lemma, token) AS token FROM qtok LEFT JOIN lemmas ON surface = token), "
+    "qsize AS (SELECT query_id, count(*) AS n FROM lqtok GROUP BY query_id), "
+    "qword AS (SELECT DISTINCT query_id, token, CASE WHEN n <= 7 THEN 7 ELSE trunc(7 * exp(-0.08 * n))::INT END AS budget "
+    f"FROM lqtok JOIN qsize USING (query_id)), {NEAR_SQL}, "
+    "lnear AS (SELECT token, coalesce(lemma, lower(word)) AS word, cos, rank FROM near LEFT JOIN lemmas ON surface = lower(word)), "
+    + KEPT_SQL.replace("near", "lnear")
+    + f", {TOKEN_WEIGHTS_SQL}, {EXPANSION_WEIGHTS_SQL}, "
+    "terms AS (SELECT query_id, word, sum(weight)::DOUBLE AS weight FROM "
+    "(SELECT * FROM tweight UNION ALL SELECT * FROM eweight) GROUP BY 1, 2), "
+    "ltf AS (SELECT coalesce(lemma, word) AS word, doc_id, sum(tf)::BIGINT AS tf FROM tf LEFT JOIN lemmas ON surface = word GROUP BY 1, 2), "
+    "lidf AS (SELECT word, log10((SELECT count(*) FROM documents) / count(*)) AS idf FROM ltf GROUP BY word), "
+    + _SCORED.replace("JOIN tf USING", "JOIN ltf AS tf USING").replace("JOIN idf USING", "JOIN lidf AS idf USING")
+    + f", {_RANKED}"
+)
+
+
+@query(
+    "search_expanded_lemmatized",
+    f"{_JOINT} SELECT query_id, rank, doc_id, {_RESULT} FROM ranked WHERE rank <= 100",
+)
+def search_expanded_lemmatized(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole path of a query: lemmas in index, queries and neighbours, and expansion by vectors."""
+    index, lemmas = _lemmatized_index(spark, folder)
+    vectors = cut_lineage(word_vectors(spark, folder))
+    found = se.search(index, user_queries(spark, folder), vectors, lemmas, CONFIG)
+    return found.select(
+        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "link", F.round("score", 6).alias("score")
+    )
+
+
 @query(
     "search_without_index",
     f"{_ITEM_SCORES}, {_RANKED} SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 100",
@@ -223,6 +261,22 @@ def search_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "search_envelope_results",
+    f"{_USER_RANKED} SELECT query_id, rank - 1 AS position, doc_id AS id, split_part(text, chr(10), 1) AS title, "
+    "'document:' || doc_id AS url, '' AS description, 'no summary' AS summary, round(score, 6) AS score "
+    "FROM ranked JOIN documents USING (doc_id) WHERE rank <= 100",
+)
+def search_envelope_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Every result of every answer as its user gets it, in the order of the answer."""
+    answers = pr.search_envelopes(user_queries(spark, folder), batch_results(spark, folder))
+    fields = "id bigint, title string, url string, description string, summary string, score double"
+    parsed = F.from_json("envelope", f"results array<struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>>")
+    rows = answers.select("query_id", F.posexplode(parsed["results"]).alias("position", "r"))
+    names = ("id", "title", "url", "description", "summary")
+    return rows.select("query_id", F.col("position").cast("long").alias("position"), *(f"r.{n}" for n in names), F.round("r.score", 6).alias("score"))
+
+
 @query(
     "result_counts",
     f"{_USER_RANKED} SELECT q.query_id, count(r.doc_id) AS n_results FROM queries q "
