@@ -183,8 +183,5 @@ def test_a_batch_that_failed_midway_is_repeated_without_harm(spark, tmp_path, mo
 def test_unique_links_of_a_stream(spark, tmp_path):
     arriving, out = str(tmp_path / "in"), str(tmp_path / "out")
     files(spark, arriving, PAGES[:3], PAGES[1:5], [("https://n.example", None)])
-    unique = ing.one_per_link_stream(ing.read_page_stream(spark, arriving, files_per_trigger=1))
-    unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(
-        availableNow=True
-    ).start().awaitTermination()
+    ing.start_unique(ing.read_page_stream(spark, arriving, files_per_trigger=1), out, str(tmp_path / "c")).awaitTermination()
     assert sorted(r["link"] for r in spark.read.parquet(out).collect()) == [link for link, _ in PAGES[:5]]
