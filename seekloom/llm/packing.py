@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seekloom.llm.batches import as_batch, slices, texts_of
+from seekloom.llm.batches import as_batch, slices
 from seekloom.llm.tokens import SLICE_BYTES, encoder
 from seekloom.session import new_folder
 
@@ -146,7 +146,7 @@ def pack_documents(
         end = np.array([end_id], dtype="<u4")
         for batch in slices(batches, "text", SLICE_BYTES):
             doc_ids = batch.column("doc_id").to_pylist()
-            for doc_id, ids in zip(doc_ids, encoder(tokenizer).encode(texts_of(batch)), strict=True):
+            for doc_id, ids in zip(doc_ids, encoder(tokenizer).encode_column(batch.column("text")), strict=True):
                 windows.place((doc_id, 0, len(ids) + 1, np.concatenate([ids, end])))
             yield windows.rows(task // FAN_IN)
         yield windows.rows(task // FAN_IN, last=True)

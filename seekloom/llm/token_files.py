@@ -11,6 +11,7 @@ files without rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seekloom.llm.batches import as_batch, slices, texts_of
+from seekloom.llm.batches import as_batch, slices
 from seekloom.llm.tokens import SLICE_BYTES, encoder
 
 SCHEMA = "doc_id long, n_tokens long, tokens array<int>"
@@ -33,7 +34,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, end_id: int | None =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([] if end_id is None else [end_id], dtype="<u4")
         for batch in slices(batches, "text", SLICE_BYTES):
-            found = [part for ids in encoder(tokenizer).encode(texts_of(batch)) for part in (ids, end)]
+            found = [part for ids in encoder(tokenizer).encode_column(batch.column("text")) for part in (ids, end)]
             sizes = np.fromiter((len(a) + len(end) for a in found[::2]), np.int64, batch.num_rows)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             tokens = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found).astype(np.int32)))
@@ -89,7 +90,8 @@ def token_digests(rows: DataFrame) -> DataFrame:
 
     sizes = {r["file"]: r["n"] for r in rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).collect()}
     starts, before = [], 0
-    for name in sorted(sizes):
+    # Part numbers have five digits or more, so names are not in the order of the numbers.
+    for name in sorted(sizes, key=lambda n: [int(x) if x.isdigit() else x for x in re.split(r"(\d+)", n)]):
         starts.append((name, before))
         before += sizes[name]
     files = rows.sparkSession.createDataFrame(starts, "file string, file_start long")
