@@ -7,9 +7,9 @@ parts:
 
 * 8 lanes modulo 2**64, the paragraph's 512-bit digest. Documents with other paragraphs have
   other sums, so equality of fingerprints is equality of the multisets.
-* 256 lanes modulo 2**16, the sum of a +1/-1 vector for each segment of the paragraph, a run
-  of about eight words whose ends the content decides. The squared length of the difference
-  of two documents' lanes estimates how many segments they do not share.
+* 256 lanes modulo 2**32, the sum of a +1/-1 vector for each segment of the paragraph, a run
+  of about eight words whose ends the paragraph's content decides. The squared length of the
+  difference of two documents' lanes estimates how many segments they do not share.
 
 Null text is empty: one empty paragraph. Equal texts have equal fingerprints. Other columns
 are ignored and rows may repeat.
@@ -47,10 +47,14 @@ def fingerprints(texts: list[bytes]) -> list[bytes]:
     strong = np.add.reduceat(lanes, np.cumsum(counts) - counts, axis=0)
 
     buffer = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
-    # A space ends a segment when the three bytes before it hash to a multiple.
-    window = np.zeros(len(buffer), dtype=np.uint32)
+    # A space ends a segment when the three bytes before it hash to a multiple. What is before
+    # the paragraph does not count, so a paragraph has the same segments wherever it stands.
+    window, own = np.zeros(len(buffer), dtype=np.uint32), np.ones(len(buffer), dtype=bool)
     for back, factor in ((1, 0x9E3779B1), (2, 0x85EBCA77), (3, 0xC2B2AE3D)):
-        window[back:] += buffer[:-back].astype(np.uint32) * np.uint32(factor)
+        before = buffer[:-back]
+        own[:back] = False
+        own[back:] &= before != _LINE
+        window[back:] += own[back:] * before.astype(np.uint32) * np.uint32(factor)
     cut = (buffer == _SPACE) & ((window >> np.uint32(13)) % np.uint32(_SEGMENT_WORDS) == 0)
     ends = np.flatnonzero(cut | (buffer == _LINE))
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -62,14 +66,14 @@ def fingerprints(texts: list[bytes]) -> list[bytes]:
     firsts = np.searchsorted(starts, text_ends - sizes)
     per_text = np.diff(np.concatenate([firsts, [len(starts)]]))
     plus = np.add.reduceat(ones, firsts, axis=0, dtype=np.uint32)
-    sketch = (2 * plus.astype(np.int64) - per_text[:, None]).astype("<i8").astype("<u2")
+    sketch = (2 * plus.astype(np.int64) - per_text[:, None]).astype("<i8").astype("<u4")
     return [a.tobytes() + b.tobytes() for a, b in zip(strong.astype("<u8"), sketch, strict=True)]
 
 
 def combine(left: bytes, right: bytes, sign: int = 1) -> bytes:
     """The fingerprint with another one's paragraphs inserted (1) or deleted (-1)."""
     strong = [np.frombuffer(f[:_DIGEST_BYTES], "<u8") for f in (left, right)]
-    sketch = [np.frombuffer(f[_DIGEST_BYTES:], "<u2") for f in (left, right)]
+    sketch = [np.frombuffer(f[_DIGEST_BYTES:], "<u4") for f in (left, right)]
     if sign > 0:
         return (strong[0] + strong[1]).tobytes() + (sketch[0] + sketch[1]).tobytes()
     return (strong[0] - strong[1]).tobytes() + (sketch[0] - sketch[1]).tobytes()
@@ -81,11 +85,11 @@ def likeness(left: list[bytes], right: list[bytes]) -> np.ndarray:
     It is 1 exactly for equal fingerprints.
     """
     a, b = (
-        np.frombuffer(b"".join([f[_DIGEST_BYTES:] for f in side]), "<i2").reshape(len(side), -1).astype(np.float64)
+        np.frombuffer(b"".join([f[_DIGEST_BYTES:] for f in side]), "<i4").reshape(len(side), -1).astype(np.float64)
         for side in (left, right)
     )
-    # Differences are taken modulo 2**16 like the sums.
-    apart = ((a - b + 32768) % 65536) - 32768
+    # Differences are taken modulo 2**32 like the sums.
+    apart = ((a - b + 2.0**31) % 2.0**32) - 2.0**31
     norm = (a * a).sum(axis=1) + (b * b).sum(axis=1)
     found = 1 - (apart * apart).sum(axis=1) / np.maximum(norm, 1)
     same = np.fromiter((x == y for x, y in zip(left, right, strict=True)), bool, len(left))
