@@ -7,7 +7,8 @@ goes through a small dense layer; its units are max-pooled over the chunks and c
 one probability. Everything is learned by gradient descent on labelled texts.
 
 Null text is empty: one block of padding, with a defined score. The score of a text depends
-on nothing but the text.
+on nothing but the text. Repeated rows have equal scores, other columns are ignored, and an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seekloom.llm.samples import least_hashed
+
 BLOCK = 256
 FILTERS = 16
 WIDTH = 4
 HIDDEN = 16
-#: Bounds of the labelled sample: rows of each label, characters of a row that are learned from.
+#: Bounds of the labelled sample: rows of each label, and characters of a run of a longer row.
 SAMPLE_ROWS = 1_500
 SAMPLE_CHARS = 20_000
 #: Chunks of a document that one training step looks at, drawn anew each time.
@@ -144,10 +147,10 @@ def _gradients(model: Model, texts: list[bytes], labels: np.ndarray, weights: np
     return out | {"filters": filters}
 
 
-def _cropped(text: bytes, good: bool, random: np.random.Generator) -> bytes:
-    """A run of a text for one step; of good texts sometimes a few words, as texts can be short."""
+def _cropped(text: bytes, random: np.random.Generator) -> bytes:
+    """A run of a text for one step; sometimes a few words, as texts of any label can be short."""
     size = STEP_CHUNKS * BLOCK
-    if good and random.random() < 0.15:
+    if random.random() < 0.15:
         size = int(random.integers(2, 120))
     start = int(random.integers(0, len(text) - size + 1)) if len(text) > size else 0
     return text[start : start + size]
@@ -170,7 +173,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 14, batch: int = 64
         order = random.permutation(len(data))
         for start in range(0, len(order), batch):
             rows = order[start : start + batch]
-            given = _gradients(model, [_cropped(data[i], marks[i] == 1, random) for i in rows], marks[rows], weight_of[marks[rows].astype(int)] / len(rows))
+            given = _gradients(model, [_cropped(data[i], random) for i in rows], marks[rows], weight_of[marks[rows].astype(int)] / len(rows))
             steps += 1
             pace = rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
             for name, g in given.items():
@@ -181,18 +184,23 @@ def train(texts: list[str], labels: list[int], epochs: int = 14, batch: int = 64
     return model
 
 
-def learn(labelled: DataFrame) -> Model:
-    """A model from ``(doc_id, text, label)``, within the bounds of the sample.
+def learn(documents: DataFrame, labels: DataFrame) -> Model:
+    """A model from documents and labels ``(doc_id, label)``, within the bounds of the sample.
 
-    Of each label the rows with the smallest hashes of their id are taken. Rows with another
-    label than 0 and 1 are not.
+    Ids are chosen first, those with the smallest hashes of each label, and only their texts
+    are read out; of a long one a run at a place that the id's hash decides. Labels other than
+    0 and 1 are not learned from; of several labels of one id the lowest counts, and of several
+    rows of one id each is learned from.
     """
-    ids = labelled.where(F.col("label").isin(0, 1)).select("label", "doc_id", F.xxhash64("doc_id").alias("order"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("order", "doc_id"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).select("label", "doc_id", "rank")
-    texts = labelled.select("label", "doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"))
-    rows = texts.join(F.broadcast(chosen), ["label", "doc_id"]).select("label", "rank", "text").collect()
-    rows.sort(key=lambda r: (r["rank"], r["label"], r["text"]))
+    own = labels.where(F.col("label").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("label").cast("int").alias("label"))
+    known = documents.select(F.col("doc_id").cast("long")).distinct()
+    chosen = least_hashed(own.join(known, "doc_id", "left_semi"), "label", "doc_id", SAMPLE_ROWS).select("doc_id", "label", "order")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = documents.select(F.col("doc_id").cast("long"), text.alias("text")).join(F.broadcast(chosen), "doc_id")
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
+    run = F.substring(F.col("text"), (F.pmod(F.col("order"), spare + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    rows = texts.select("label", "order", run.alias("text")).collect()
+    rows.sort(key=lambda r: (r["order"], r["label"], r["text"]))
     return train([r["text"] for r in rows], [r["label"] for r in rows])
 
 

@@ -78,16 +78,16 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate(_documents(spark, folder)).drop("file", "at")
 
 
-def labelled_quality(spark: SparkSession, folder: str, documents: DataFrame) -> DataFrame:
-    """Documents with a label that may be learned from; of several labels the lowest counts."""
-    labels = spark.read.parquet(f"{folder}/labels.parquet").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    return documents.where(_remainder(3) != 1).select("doc_id", "text").join(labels, "doc_id")
+def quality_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """``(doc_id, label)`` of the rows that may be learned from."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(_remainder(3) != 1)
+    return labels.select("doc_id", F.col("quality").alias("label"))
 
 
 @query("op3_quality_classifier")
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents = _documents(spark, folder)
-    model = quality.learn(labelled_quality(spark, folder, documents))
+    model = quality.learn(documents, quality_labels(spark, folder))
     scored = documents.select("doc_id", (_remainder(3) == 1).alias("held_out"), quality.quality_score(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -228,6 +228,5 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Learned from labelled rows whose crc32 modulo 3 is not 1, so the others can tell how good it is."""
     documents = _documents(spark, folder)
-    labels = spark.read.parquet(f"{folder}/labels.parquet").where(_remainder(3) != 1).select("doc_id", F.col("quality").alias("label"))
-    judged = quality_rules.judge(documents, quality_rules.learn(documents, labels))
+    judged = quality_rules.judge(documents, quality_rules.learn(documents, quality_labels(spark, folder)))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "score")
