@@ -20,10 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seekloom.llm.samples import least_hashed
+
 #: Bounds of the labelled sample: rows of a language, bytes of a row, bytes of a language.
 SAMPLE_ROWS = 64
 SAMPLE_ROW_BYTES = 2_048
@@ -92,6 +94,7 @@ class Parser:
             self.roots.append(size)
             size += len(table)
         self.table = np.concatenate(tables).ravel().astype(np.int32) if tables else np.empty(0, np.int32)
+        self.rates = np.array([_own_rate(samples[language]) for language in self.languages])
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Number of phrases of each non-empty text by each language."""
@@ -140,14 +143,36 @@ class Parser:
             if not chosen:
                 continue
             counts = self.phrases(plain)
-            best = counts.argmin(axis=1)
-            ordered = np.sort(counts, axis=1)
+            # A language with less labelled text needs more phrases for its own texts too.
+            needed = counts / self.rates
+            best = needed.argmin(axis=1)
+            ordered = np.sort(needed, axis=1)
             score = 1 - ordered[:, 0] / ordered[:, 1] if len(self.languages) > 1 else np.ones(len(chosen))
             for i, b, s in zip(chosen, best.tolist(), score.tolist(), strict=True):
                 found[i], scores[i] = self.languages[b], s
         return found, scores
 
 
+def _own_rate(sample: bytes) -> float:
+    """Phrases per byte that the first three quarters of a sample need for the rest."""
+    cut = len(sample) * 3 // 4
+    learned, rest = sample[:cut], sample[cut:]
+    if not learned or not rest:
+        return 1.0
+    classes = np.zeros(256, dtype=np.int32)
+    used = np.unique(np.frombuffer(learned, np.uint8))
+    classes[used] = np.arange(1, len(used) + 1)
+    table = suffix_automaton(learned, classes, len(used) + 1).tolist()
+    state, phrases = 0, 1
+    for symbol in classes[np.frombuffer(rest, np.uint8)].tolist():
+        following = table[state][symbol]
+        if not following:
+            phrases += 1
+            following = table[0][symbol]
+        state = following
+    return phrases / len(rest)
+
+
 def parser(samples: dict[str, bytes]) -> Parser:
     """The worker's parser for some samples, built once."""
     key = hashlib.sha256(repr(sorted(samples.items())).encode()).hexdigest()
@@ -163,14 +188,14 @@ def learn_samples(labelled: DataFrame) -> dict[str, bytes]:
     Of each language the rows with the smallest hashes of their id are taken. Rows without a
     language or without an id are not.
     """
-    ids = labelled.where(F.col("lang").isNotNull()).select("lang", "doc_id", F.xxhash64("doc_id").alias("order"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_ROWS).select("lang", "doc_id", "rank")
-    # A character has at most four bytes; the rest of a row is not needed here.
-    texts = labelled.select("lang", "doc_id", F.substring("text", 1, SAMPLE_ROW_BYTES * 2).alias("text"))
-    rows = texts.join(F.broadcast(chosen), ["lang", "doc_id"]).select("lang", "rank", "text").collect()
+    ids = labelled.select("lang", F.col("doc_id").cast("long").alias("doc_id"))
+    chosen = least_hashed(ids, "lang", "doc_id", SAMPLE_ROWS)
+    texts = labelled.select("lang", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    spare = F.greatest(F.length("text") - 2 * SAMPLE_ROW_BYTES, F.lit(0))
+    run = F.substring(F.col("text"), (F.pmod(F.col("order"), spare + 1) + 1).cast("int"), F.lit(2 * SAMPLE_ROW_BYTES))
+    rows = texts.join(F.broadcast(chosen.distinct()), ["lang", "doc_id"]).select("lang", "order", run.alias("text")).collect()
     samples: dict[str, bytes] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["rank"], r["text"] or "")):
+    for row in sorted(rows, key=lambda r: (r["lang"], r["order"], r["text"] or "")):
         held = samples.get(row["lang"], b"")
         taken = letters(row["text"])[:SAMPLE_ROW_BYTES]
         if taken and len(held) < SAMPLE_BYTES:
