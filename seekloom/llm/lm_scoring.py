@@ -36,6 +36,8 @@ from seekloom.llm.hashing import mix, word_hashes
 from seekloom.session import new_folder
 
 CHUNK_BYTES = 10 * 1024 * 1024
+#: Bytes of text for each bucket of hashes; bounds what one task holds.
+BUCKET_BYTES = 16 * 1024 * 1024
 #: Stands for the end of a document; no word has a fixed hash.
 END = np.uint64(0x5EED0E2D5EED0E2D)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
@@ -136,6 +138,16 @@ _ANSWERS_ARROW = pa.schema(
 )
 
 
+def _planes(counts: np.ndarray) -> bytes:
+    """64-bit counts as their low halves, then their high halves, which are mostly zeros."""
+    return (counts & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (counts >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def _counts(data: bytes) -> np.ndarray:
+    low, high = np.frombuffer(data, "<u4").reshape(2, -1).astype(np.uint64)
+    return low + (high << np.uint64(32))
+
+
 def _hashes(data: bytes, width: int) -> np.ndarray:
     whole = np.zeros((len(data) // width, 8), dtype=np.uint8)
     whole[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
@@ -149,10 +161,11 @@ def _answer(table: pa.Table) -> pa.Table:
         asked = [_hashes(d, width) for d in table.column(name).to_pylist()]
         counts = np.concatenate([np.frombuffer(d, "<u4") for d in table.column(counts_name).to_pylist()])
         distinct, at = np.unique(np.concatenate(asked), return_inverse=True)
-        summed = np.bincount(at, weights=counts, minlength=len(distinct)).astype("<u8")
-        answers = np.minimum(summed[at], 2**32 - 1).astype("<u4")
+        order = np.argsort(at, kind="stable")
+        summed = np.add.reduceat(counts[order].astype(np.uint64), np.searchsorted(at[order], np.arange(len(distinct)))) if len(at) else counts.astype(np.uint64)
+        answers = summed[at]
         ends = np.cumsum([0, *map(len, asked)])
-        columns.append([answers[s:e].tobytes() for s, e in zip(ends[:-1], ends[1:], strict=True)])
+        columns.append([_planes(answers[s:e]) for s, e in zip(ends[:-1], ends[1:], strict=True)])
         totals.append((int(summed.sum()), int((summed > 0).sum())))
     n = table.num_rows
     # A bucket's totals stand in its first row.
@@ -218,8 +231,8 @@ def _look_up(table: pa.Table, buckets: int) -> pa.Table:
     chunk = Chunk(words[np.concatenate(streams)], bounds)
 
     def in_order(hashes: np.ndarray, parts: list[bytes]) -> np.ndarray:
-        found = np.empty(len(hashes), dtype="<u4")
-        found[_by_bucket(hashes, buckets)[0]] = np.frombuffer(b"".join(parts), "<u4")
+        found = np.empty(len(hashes), dtype=np.uint64)
+        found[_by_bucket(hashes, buckets)[0]] = np.concatenate([_counts(p) for p in parts])
         return found
 
     word_counts = in_order(chunk.words, [data[i].as_py() for i in answers])
@@ -236,8 +249,8 @@ def _look_up(table: pa.Table, buckets: int) -> pa.Table:
             pa.array(ids, pa.int64()),
             pa.array(learned, pa.bool_()),
             pa.array([e - s for s, e in spans], pa.int64()),
-            pa.array([own[s:e].tobytes() for s, e in spans], pa.binary()),
-            pa.array([pairs[s:e].tobytes() for s, e in spans], pa.binary()),
+            pa.array([_planes(own[s:e]) for s, e in spans], pa.binary()),
+            pa.array([_planes(pairs[s:e]) for s, e in spans], pa.binary()),
             # The chunk's held-out events stand in its first row.
             pa.array([summary] + [None] * (len(spans) - 1), pa.binary()),
         ],
@@ -294,8 +307,7 @@ def _score(rows: DataFrame, weights: np.ndarray, tokens: int, distinct: int) ->
             if not batch.num_rows:
                 continue
             sizes = batch.column("n_tokens").to_numpy()
-            own = np.frombuffer(b"".join(batch.column("word_counts").to_pylist()), "<u4")
-            pairs = np.frombuffer(b"".join(batch.column("pair_counts").to_pylist()), "<u4")
+            own, pairs = (np.concatenate([_counts(d) for d in batch.column(n).to_pylist()]) for n in ("word_counts", "pair_counts"))
             starts = np.cumsum(sizes) - sizes
             before = np.roll(own, 1)
             # Every document ends with the end token, whose count is that of its first context.
@@ -331,11 +343,13 @@ def score_documents(documents: DataFrame, learned: Callable[[], Column], chunk_b
     ``train_tokens`` all training tokens. ``base_score`` is the log10 probability by single
     tokens with 0.1 added to each count, ``score`` that of the interpolated model.
 
-    The number of buckets is the session's number of shuffle partitions. At most a few
-    thousand cells of held-out events reach the driver, whatever the number of documents.
+    Buckets of hashes are as many as the session's shuffle partitions, or more, so that each
+    stands for ``BUCKET_BYTES`` of text at most. At most a few thousand cells of held-out events
+    reach the driver, whatever the number of documents.
     """
     spark = documents.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = documents.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     docs = documents.select(
         F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(learned(), F.lit(False)).alias("learned")
     )
