@@ -1,14 +1,17 @@
 """Exact and near duplicates against brute force, and fingerprints."""
 
 import collections
+import contextlib
 import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from seekloom.llm import exact_dedup, fingerprints, near_dedup
+from seekloom.llm.hashing import mix, range_hashes
 from seekloom.llm.queries import half_replaced
 
 
@@ -109,8 +112,11 @@ def variants(seed, groups=12, size=25, length=120):
     return rows
 
 
-@pytest.mark.parametrize("words", [4, 5])
-def test_near_duplicates_equal_brute_force(spark, edges, documents, words):
+@pytest.mark.parametrize(("words", "large"), [(4, 32), (5, 2)])
+def test_near_duplicates_equal_brute_force(spark, edges, documents, words, large, monkeypatch):
+    """With few members a large bucket has, the join on rare differences decides nearly all pairs."""
+    monkeypatch.setattr(near_dedup, "LARGE", large)
+    monkeypatch.setattr(near_dedup, "ELEMENTS_PER_TASK", 5_000)
     made = spark.createDataFrame(variants(words), "doc_id long, text string")
     offset = documents.select((F.col("doc_id") + 10_000).alias("doc_id"), "text")
     frame = edges.select("doc_id", "text", "rep", "component", "bucket").unionByName(made.unionByName(offset), allowMissingColumns=True)
@@ -124,6 +130,33 @@ def test_near_duplicates_equal_brute_force(spark, edges, documents, words):
     assert collections.Counter((r.doc_id, r.n_shingles) for r in found) == sizes
 
 
+def edited_copies(seed, size, length=110):
+    """One base text and copies with so many edits that most are just below the similarity to it."""
+    draw = random.Random(seed)
+    base = [f"v{draw.randrange(900)}" for _ in range(length)]
+    texts = [list(base)]
+    for _ in range(size - 1):
+        text = list(draw.choice(texts) if draw.random() < 0.3 else base)
+        for _ in range(draw.randrange(0, 8)):
+            at = draw.randrange(len(text))
+            text[at : at + draw.choice([0, 1, 1, 6])] = [f"z{draw.randrange(300)}"] * draw.choice([0, 1, 1])
+        texts.append(text)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_large_groups_of_edited_copies(spark, monkeypatch):
+    rows = edited_copies(6, 420)
+    expected = expected_near(rows, 4)
+    assert 2 < len(set(expected.values())) < 400
+    pairs = []
+    real = near_dedup._possible_pairs
+    monkeypatch.setattr(near_dedup, "_possible_pairs", lambda *a: pairs.append(real(*a)) or pairs[-1])
+    monkeypatch.setattr(near_dedup, "scratch", lambda spark: contextlib.nullcontext())
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
+    assert {r.doc_id: r.component_id for r in found} == expected
+    assert pairs[0].count() < len(rows) ** 2 / 40
+
+
 def test_estimate_is_close_to_the_similarity(spark):
     draw = random.Random(3)
     words = [f"w{i}" for i in range(2_000)]
@@ -151,9 +184,30 @@ def test_components(spark):
     assert {r.node: r.component for r in near_dedup.components(links).collect()} == {3: 3, 4: 3, 5: 3, 9: 3, 20: 20, 21: 20, 22: 20}
 
 
+def plain_fingerprint(text):
+    """Paragraph by paragraph and byte by byte."""
+    lanes, sketch = [0] * 8, [0] * fingerprints.SKETCH_LANES
+    for paragraph in text.encode().split(b"\n"):
+        digest = hashlib.blake2b(paragraph, digest_size=64).digest()
+        lanes = [(a + int.from_bytes(digest[8 * i : 8 * i + 8], "little")) % 2**64 for i, a in enumerate(lanes)]
+        segments, begin = [], 0
+        for i, c in enumerate(paragraph):
+            back = sum(paragraph[i - k] * f for k, f in ((1, 0x9E3779B1), (2, 0x85EBCA77), (3, 0xC2B2AE3D)) if i >= k) % 2**32
+            if c == 32 and (back >> 13) % 8 == 0:
+                segments.append(paragraph[begin:i])
+                begin = i + 1
+        for segment in [*segments, paragraph[begin:]]:
+            data = np.frombuffer(segment, np.uint8)
+            key = range_hashes(data, np.array([0]), np.array([len(data)]))
+            bits = np.unpackbits(mix(key[:, None] ^ mix(np.arange(4, dtype=np.uint64))[None, :]).view(np.uint8))
+            sketch = [a + (1 if b else -1) for a, b in zip(sketch, bits.tolist(), strict=True)]
+    return b"".join(a.to_bytes(8, "little") for a in lanes) + b"".join((a % 2**32).to_bytes(4, "little") for a in sketch)
+
+
 @pytest.mark.parametrize("ranges", [1, 3, 40])
 def test_next_texts_and_edits(spark, edges, documents, ranges, monkeypatch):
-    frame = edges.select("doc_id", "text", "range", "borrowed").unionByName(documents.select("doc_id", "text"), allowMissingColumns=True)
+    offset = documents.select((F.col("doc_id") + 10_000).alias("doc_id"), "text")
+    frame = edges.select("doc_id", "text", "range", "borrowed").unionByName(offset, allowMissingColumns=True)
     dealt = fingerprints.with_next_text
     monkeypatch.setattr(fingerprints, "with_next_text", lambda d: dealt(d, ranges))
     rows = [(r.doc_id, r.text or "") for r in frame.collect()]
@@ -162,17 +216,46 @@ def test_next_texts_and_edits(spark, edges, documents, ranges, monkeypatch):
     expected = collections.Counter((d, len(t), hashlib.sha256(half_replaced(t, n).encode()).hexdigest()) for (d, t), (_, n) in zip(rows, after, strict=True))
     found = fingerprints.compare_with_next(frame, half_replaced).collect()
     assert collections.Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in found) == expected
-    own = {}
-    for r, text in zip(sorted(found, key=str), rows, strict=True):
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-    for d, t in rows:
-        own[d] = t
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
+    own = collections.Counter((d, fingerprints.fingerprints([t.encode()])[0].hex()) for d, t in rows)
+    assert collections.Counter((r.doc_id, r.fingerprint) for r in found) == own
+    edited = {d: half_replaced(t, n) for (d, t), (_, n) in zip(rows, after, strict=True)}
     for r in found:
-        if r.doc_id in (5, 9, 14):
-            assert r.fingerprint == fingerprints.fingerprints([own[r.doc_id].encode()])[0].hex()
+        if r.doc_id in (2, 5, 7, 13, 10_000, 10_007):
+            assert r.fingerprint == plain_fingerprint(dict(rows)[r.doc_id]).hex()
+            assert r.edited_fingerprint == plain_fingerprint(edited[r.doc_id]).hex()
     assert sum(r.near_edited for r in found) > 2 * sum(r.near_next for r in found)
 
 
+def test_equal_texts_have_equal_fingerprints_in_any_company():
+    draw = random.Random(8)
+    texts = ["A dog ran to a log", " leading space a b c", "a b\na b\n a b", "I\nI am\na I b c d e f g h i j", "", " ", "\n", "x y " * 40]
+    alone = {t: fingerprints.fingerprints([t.encode()])[0] for t in texts}
+    assert len(set(alone.values())) == len(texts)
+    assert all(alone[t] == plain_fingerprint(t) for t in texts)
+    for _ in range(50):
+        mixed = [draw.choice(texts) for _ in range(12)]
+        assert fingerprints.fingerprints([t.encode() for t in mixed]) == [alone[t] for t in mixed]
+
+
+def test_paragraphs_count_in_any_order_and_number():
+    draw = random.Random(9)
+    paragraphs = ["A b", " a c d", "b", "", "I a I a I a I a I a", "x " * 30, "é à"]
+    for _ in range(40):
+        chosen = [draw.choice(paragraphs) for _ in range(draw.randrange(1, 9))]
+        whole = fingerprints.fingerprints(["\n".join(chosen).encode()])[0]
+        added = None
+        for p in draw.sample(chosen, len(chosen)):
+            own = fingerprints.fingerprints([p.encode()])[0]
+            added = fingerprints.combine(added, own) if added else own
+        assert added == whole
+        less = fingerprints.combine(whole, fingerprints.fingerprints([chosen[0].encode()])[0], -1)
+        if len(chosen) > 1:
+            assert less == fingerprints.fingerprints(["\n".join(chosen[1:]).encode()])[0]
+    many = fingerprints.fingerprints([b"\n".join([b"same"] * 70_000), b"\n".join([b"same"] * 69_999), b"other"])
+    assert fingerprints.likeness(many[:1], many[1:2])[0] > 0.99 > 0.1 > fingerprints.likeness(many[:1], many[2:])[0]
+
+
 def test_fingerprints_are_homomorphic():
     a, b = "one two\nthree\n\nfour five six", "seven\neight nine"
     own = fingerprints.fingerprints([t.encode() for t in (a, b, a + "\n" + b, b + "\n" + a, "\n".join(reversed(a.split("\n"))), "", a + "\n")])

@@ -130,7 +130,7 @@ def test_quality_of_held_out_documents(spark):
 
 
 def test_quality_edges(edges, nothing):
-    model = quality.learn(nothing.select("doc_id", "text", F.lit(1).alias("label")))
+    model = quality.learn(nothing, nothing.select("doc_id", F.lit(1).alias("label")))
     scored = edges.select("doc_id", quality.quality_score(F.col("text"), model).alias("score")).collect()
     assert len(scored) == edges.count() and all(0 <= r.score <= 1 for r in scored)
 

@@ -7,7 +7,7 @@ import corpus_pipeline
 import numpy as np
 
 from seekloom.llm import language_id, quality
-from seekloom.llm.queries import ORACLES, QUERIES, labelled_languages, labelled_quality
+from seekloom.llm.queries import ORACLES, QUERIES, labelled_languages, quality_labels
 from test_duplicates import expected_near, plain
 from test_tokens import check_pieces
 
@@ -28,7 +28,7 @@ def test_pipeline_equals_plain_python(spark, folder, tmp_path):
     rows = {d: t for (d, t), f in zip(rows.items(), found, strict=True) if f != "und"}
     assert {r.doc_id for r in outputs[0].collect()} == set(rows)
 
-    model = quality.learn(labelled_quality(spark, folder, outputs[0]))
+    model = quality.learn(outputs[0], quality_labels(spark, folder))
     scores = quality.score_texts(model, list(rows.values()))
     rows = {d: t for (d, t), s in zip(rows.items(), scores, strict=True) if s >= corpus_pipeline.MIN_QUALITY}
     assert {r.doc_id for r in outputs[1].collect()} == set(rows)
@@ -70,5 +70,5 @@ def test_stages_on_edges(spark, edges, nothing, folder, tmp_path):
 def test_registration():
     names = list(entry.queries())
     assert [n for n in names if re.match(r"op\d+_", n)] == list(QUERIES) and "pipeline" in names
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLES) <= set(entry.oracle_sql())
