@@ -29,6 +29,8 @@ from seekloom.session import cut_lineage, new_folder
 ROWS_PER_COPY = 500
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: RocksDB reserves some MB on disk for every partition of the state unless this is off.
+_PREALLOCATE_KEY = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 
 
 def normalized(text: Column) -> Column:
@@ -85,8 +87,10 @@ def start_dedup(arriving: DataFrame, folder: str, checkpoint: str):
     def keep(changed: DataFrame, number: int) -> None:
         changed.write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
-    before = spark.conf.get(_STORE_KEY)
-    spark.conf.set(_STORE_KEY, STORE)
+    wanted = {_STORE_KEY: STORE, _PREALLOCATE_KEY: "false"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         return (
             state.writeStream.outputMode("update")
@@ -96,7 +100,11 @@ def start_dedup(arriving: DataFrame, folder: str, checkpoint: str):
             .start()
         )
     finally:
-        spark.conf.set(_STORE_KEY, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def entries(spark: SparkSession, folder: str) -> DataFrame:
