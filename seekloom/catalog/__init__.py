@@ -13,6 +13,7 @@ from seekloom.catalog import (  # noqa: E402,F401  isort: skip
     presentation_queries,
     ranking_queries,
     stream_queries,
+    summary_queries,
     text_queries,
     url_queries,
     vector_queries,
