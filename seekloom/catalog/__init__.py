@@ -9,6 +9,7 @@ from seekloom.catalog import (  # noqa: E402,F401  isort: skip
     expansion_queries,
     frontier_queries,
     index_queries,
+    lemma_queries,
     page_queries,
     presentation_queries,
     ranking_queries,
