@@ -303,9 +303,8 @@ _SCORES_ARROW = pa.schema(
 
 def _score(rows: DataFrame, weights: np.ndarray, tokens: int, distinct: int) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        # A dozen arrays of 64-bit values stand beside the counts, so few of them are held at once.
+        for batch in slices(batches, "word_counts"):
             sizes = batch.column("n_tokens").to_numpy()
             own, pairs = (np.concatenate([_counts(d) for d in batch.column(n).to_pylist()]) for n in ("word_counts", "pair_counts"))
             starts = np.cumsum(sizes) - sizes
