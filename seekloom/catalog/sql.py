@@ -19,8 +19,40 @@ def remove(expression: str, pattern: str, by: str = "") -> str:
     return f"regexp_replace({expression}, {text(pattern)}, {text(by)}, 'g')"
 
 
+# Kana in the order of their code points from U+3041 on, of which katakana lie 96 further.
+_KANA = (
+    "a a i i u u e e o o ka ga ki gi ku gu ke ge ko go sa za shi zi su zu se ze so zo ta da chi di tsu tsu du te de to do "
+    "na ni nu ne no ha ba pa hi bi pi hu bu pu he be pe ho bo po ma mi mu me mo ya ya yu yu yo yo ra ri ru re ro "
+    "wa wa wi we wo n vu ka ke va vi ve vo"
+).split()
+
+
+def spell_scripts(e: str) -> str:
+    """Greek, Cyrillic, kana and Hangul in ASCII. Letters with marks are looked up without them as well."""
+    letters = {**fv.GREEK_SPELLINGS, **fv.CYRILLIC_SPELLINGS}
+    letters = {**{c.upper(): s.capitalize() for c, s in letters.items()}, **letters}
+    known = "MAP {" + ", ".join(f"{text(c)}: {text(s)}" for c, s in letters.items()) + "}"
+    kana = f"{strings(_KANA)}[CASE WHEN unicode(c) >= 12449 THEN unicode(c) - 12448 ELSE unicode(c) - 12352 END]"
+    hangul = " || ".join(
+        f"{strings(names)}[{place} + 1]"
+        for names, place in (
+            (fv.HANGUL_LEADS, "(unicode(c) - 44032) // 588"),
+            (fv.HANGUL_VOWELS, "(unicode(c) - 44032) % 588 // 28"),
+            (fv.HANGUL_TAILS, "(unicode(c) - 44032) % 28"),
+        )
+    )
+    letter = (
+        f"CASE WHEN unicode(c) BETWEEN 880 AND 1279 OR unicode(c) BETWEEN 7936 AND 8191 THEN coalesce({known}[c], {known}[strip_accents(c)], '') "
+        f"WHEN unicode(c) BETWEEN 12353 AND 12438 OR unicode(c) BETWEEN 12449 AND 12538 THEN {kana} "
+        f"WHEN unicode(c) BETWEEN 44032 AND 55203 THEN {hangul} ELSE c END"
+    )
+    held = r"[\x{370}-\x{4FF}\x{1F00}-\x{1FFF}\x{3041}-\x{30FF}\x{AC00}-\x{D7A3}]"
+    return f"CASE WHEN regexp_matches({e}, '{held}') THEN array_to_string(list_transform(string_split({e}, ''), lambda c: {letter}), '') ELSE {e} END"
+
+
 def fold(e: str) -> str:
     single, longer = split_spellings()
+    e = spell_scripts(e)
     for char, spelling in longer.items():
         e = f"replace({e}, {text(char)}, {text(spelling)})"
     e = f"translate({e}, {text(''.join(single))}, {text(''.join(single.values()))})"

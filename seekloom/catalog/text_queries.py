@@ -54,6 +54,17 @@ def _on_rows(name: str, source: str, key: str, spark_text: str, sql_text: str, f
         return texts.select(key, "text", function(F.col("text")).alias("cleaned"))
 
 
+_UTF16 = "decode(unhex(lpad(hex({}), 4, '0')), 'UTF-16BE')"
+_SCRIPT_CODES = ("880 + o_orderkey % 400", "7936 + o_custkey % 256", "12353 + o_orderkey % 191", "44032 + (o_orderkey * 31 + o_custkey) % 11172")
+_on_rows(
+    "spell_other_scripts",
+    "orders",
+    "o_orderkey",
+    "concat(o_orderpriority, ' ', " + ", ".join(_UTF16.format(code) for code in _SCRIPT_CODES) + ")",
+    "o_orderpriority || ' ' || " + " || ".join(f"chr(({code})::INTEGER)" for code in _SCRIPT_CODES),
+    tx.remove_unicode,
+    sql.fold,
+)
 _on_rows(
     "remove_dates",
     "orders",

@@ -100,6 +100,41 @@ SYMBOL_SPELLINGS = {
     "™": "tm", "−": "-",
 }
 
+# --- Fixed values: ASCII spellings of other alphabets ----------------------------
+# Published transliterations, letter by letter. Small letters; capitals are spelled
+# alike, and letters with further marks as without them.
+
+GREEK_SPELLINGS = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e",
+    "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x",
+    "ο": "o", "π": "p", "ρ": "r", "ς": "s", "σ": "s", "τ": "t", "υ": "u",
+    "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+CYRILLIC_SPELLINGS = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh",
+    "з": "z", "и": "i", "й": "i", "к": "k", "л": "l", "м": "m", "н": "n",
+    "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f",
+    "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "'",
+    "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia", "ѐ": "ie", "ё": "io",
+    "ђ": "dj", "ѓ": "gj", "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j",
+    "љ": "lj", "њ": "nj", "ћ": "tsh", "ќ": "kj", "ѝ": "i", "ў": "u",
+    "џ": "dzh", "ґ": "g'",
+}
+
+# Kana are spelled as their Unicode names say, but for these.
+KANA_SPELLINGS = {"si": "shi", "ti": "chi", "tu": "tsu"}
+
+# Short names of the letters that make up Hangul syllables, from the Unicode standard.
+HANGUL_LEADS = ("g", "gg", "n", "d", "dd", "r", "m", "b", "bb", "s", "ss", "", "j", "jj", "c", "k", "t", "p", "h")
+HANGUL_VOWELS = (
+    "a", "ae", "ya", "yae", "eo", "e", "yeo", "ye", "o", "wa", "wae", "oe", "yo",
+    "u", "weo", "we", "wi", "yu", "eu", "yi", "i",
+)
+HANGUL_TAILS = (
+    "", "g", "gg", "gs", "n", "nj", "nh", "d", "l", "lg", "lm", "lb", "ls", "lt",
+    "lp", "lh", "m", "b", "bs", "s", "ss", "ng", "j", "c", "k", "t", "p", "h",
+)
+
 # --- Fixed values: tokens --------------------------------------------------------
 # Common English stop words without the apostrophe forms, which cannot occur
 # once special characters have become blanks.

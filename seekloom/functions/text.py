@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from seekloom import fixed_values as fv
 from seekloom.config import IndexConfig
 from seekloom.functions.binding import let
+from seekloom.functions.scripts import spell_scripts
 
 NON_ASCII = r"[^\x00-\x7F]"
 
@@ -68,7 +69,7 @@ def remove_unicode(c: Column) -> Column:
     def respell(t: Column) -> Column:
         for char, spelling in longer.items():
             t = F.replace(t, F.lit(char), F.lit(spelling))
-        return F.regexp_replace(t, NON_ASCII, "")
+        return F.regexp_replace(spell_scripts(t), NON_ASCII, "")
 
     def fold(t: Column) -> Column:
         letters = F.translate(t, "".join(single), "".join(single.values()))

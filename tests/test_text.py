@@ -13,6 +13,7 @@ from seekloom import fixed_values as fv
 from seekloom.config import IndexConfig
 from seekloom.functions import language as lg
 from seekloom.functions import text as tx
+from seekloom.functions.scripts import script_spelling
 
 
 def apply(spark, function, texts):
@@ -116,6 +117,24 @@ def test_spellings(spark):
         assert spelling.isascii(), unicodedata.name(char, char)
 
 
+def test_other_scripts(spark):
+    expected = {
+        "Αθήνα Θεσσαλονίκη ΨΥΧΗ ἀρχή ῥόδον": "Athena Thessalonike PsUKhE arkhe rodon",
+        "Москва Щука ёлка объём Київ Ґ ў": "Moskva Shchuka iolka ob'iom Kiyiv G' u",
+        "さくら シンジュク ちょっと ラーメン ヴ": "sakura shinziyuku chiyotsuto ramen vu",
+        "한국어 서울 값 의": "hangugeo seoul gabs yi",
+        "漢字 café ж🙂": " cafe zh",
+        "\u0378\u0387\u3099": "",
+    }
+    assert apply(spark, tx.remove_unicode, [*expected, None, ""]) == [*expected.values(), None, ""]
+
+
+def test_every_hangul_syllable_is_spelled_as_named(spark):
+    syllables = [chr(code) for code in range(0xAC00, 0xD7A4)]
+    names = [unicodedata.name(s).split(" ")[-1].lower() for s in syllables]
+    assert apply(spark, tx.remove_unicode, [" ".join(syllables)]) == [" ".join(names)]
+
+
 def test_stop_words_are_the_common_list(spark):
     common = [w for w in StopWordsRemover.loadDefaultStopWords("english") if "'" not in w]
     assert list(fv.STOP_WORDS) == common
@@ -136,7 +155,7 @@ def test_cleaned_text_is_ascii(spark, texts):
 
 def python_chain(text):
     """The cleaning order with the plain patterns of the standard library."""
-    spelled = "".join(c if c.isascii() else tx.ascii_spellings().get(c, "") for c in text)
+    spelled = "".join(c if c.isascii() else tx.ascii_spellings().get(c) or script_spelling(c) for c in text)
     for pattern in (
         fv.URL_PATTERN, fv.TAG_PATTERN, fv.EMAIL_PATTERN, fv.TIME_PATTERN, fv.PHONE_PATTERN,
         tx.date_pattern().replace(r"\z", r"\Z"), fv.URL_PATTERN, fv.PRICE_PATTERN, fv.PERCENT_PATTERN,
@@ -146,7 +165,7 @@ def python_chain(text):
 
 
 PIECES = st.sampled_from(
-    "a B 7 12 555 1234 : . , - _ / @ < > $ % ( ) + & ' é ß € ° www. https:// am PM usd EUR 9:30 2/29/2020 x@y.z \n".split(" ")
+    "a B 7 12 555 1234 : . , - _ / @ < > $ % ( ) + & ' é ß € ° Ж θ き www. https:// am PM usd EUR 9:30 2/29/2020 x@y.z \n".split(" ")
     + [" ", " "]
 )
 
