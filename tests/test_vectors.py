@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seekloom.operators import expand as ex
 from seekloom.operators import word_vectors as wv
@@ -91,3 +92,22 @@ def test_planted_words_are_neighbours_and_runs_agree(spark, sentences):
 def test_nothing_to_learn_from(spark):
     frame = spark.createDataFrame([(1, None), (2, ""), (3, "alone")], "doc_id long, text string")
     assert wv.learn_vectors(frame).collect() == []
+
+
+def test_blocks_of_nearest_words_do_not_follow_a_small_bound():
+    mb = 1024 * 1024
+    # 51 MB were cut into 535 blocks of 100 kB, so every vector was copied 535 times.
+    assert ex.block_count(51 * mb, 100_000, 12) == 4
+    assert ex.block_count(6 * 51 * mb, 100_000, 12) == 5
+    assert ex.block_count(500, 600, 12) == 1
+    assert ex.block_count(5_000, 600, 100) == 9
+    assert ex.block_count(0, 600, 1) == 1
+
+
+def test_nearest_words_in_blocks_with_a_very_long_word(spark):
+    words = [f"w{i}" for i in range(60)] + ["x" * 200_000]
+    rows = [(w, [float(i % 7), float(i % 5), 1.0]) for i, w in enumerate(words)]
+    frame = spark.createDataFrame(rows, "word string, vector array<double>")
+    tokens = frame.select(F.col("word").alias("token"))
+    ways = [{tuple(r) for r in ex.nearest_words(tokens, frame, 5, max_bytes=size).collect()} for size in (10**9, 200)]
+    assert ways[0] == ways[1] and len(ways[0]) == 5 * len(words)
