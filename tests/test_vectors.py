@@ -111,3 +111,9 @@ def test_nearest_words_in_blocks_with_a_very_long_word(spark):
     tokens = frame.select(F.col("word").alias("token"))
     ways = [{tuple(r) for r in ex.nearest_words(tokens, frame, 5, max_bytes=size).collect()} for size in (10**9, 200)]
     assert ways[0] == ways[1] and len(ways[0]) == 5 * len(words)
+
+
+def test_counts_are_shuffled_once(spark, sentences):
+    frame = spark.createDataFrame(list(enumerate(sentences)), "doc_id long, tokens array<string>")
+    plan = wv.cooccurrences(frame, 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
