@@ -117,3 +117,15 @@ def test_counts_are_shuffled_once(spark, sentences):
     frame = spark.createDataFrame(list(enumerate(sentences)), "doc_id long, tokens array<string>")
     plan = wv.cooccurrences(frame, 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_partial_rows_grow_with_the_root_of_the_tiles(spark):
+    values = np.random.default_rng(1).standard_normal((40, 40))
+    entries = spark.createDataFrame([(i, j, float(values[i, j])) for i in range(40) for j in range(40)], "row long, column long, value double")
+    dense = np.random.default_rng(2).standard_normal((40, 3))
+    block = spark.createDataFrame([(i, dense[i].tolist()) for i in range(40)], "number long, values array<double>")
+    # One row came for each of the 16 column blocks and each word.
+    assert wv.partial_products(entries, block, 16).count() == 40 * 4
+    for blocks in (1, 5, 16):
+        found = {r["number"]: r["values"] for r in wv.multiplied(entries, block, blocks).collect()}
+        assert np.allclose([found[i] for i in range(40)], values @ dense)
