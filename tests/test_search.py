@@ -2,11 +2,13 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from seekloom.config import IndexConfig, SearchConfig
+from seekloom.operators import blocks
 from seekloom.operators import expand as ex
 from seekloom.operators import index as ix
 from seekloom.operators import joins as jn
@@ -313,3 +315,40 @@ def test_presentation_order_and_log(spark):
 def test_idf_of_unknown_words(spark, index):
     terms = spark.createDataFrame([(1, "zebra", 1.0), (1, "fox", 1.0)], "query_id long, word string, weight double")
     assert [r["word"] for r in rk.idf_of(terms, index.idf).collect()] == ["fox"]
+
+
+def test_tasks_keep_only_the_best_over_all_their_blocks(spark, monkeypatch):
+    """Slices of queries and many blocks give what one plain pass gives; few rows leave a task."""
+    draw = random.Random(4)
+    postings = [(f"w{w}", d, draw.randrange(1, 4)) for d in range(400) for w in draw.sample(range(12), 4)]
+    tf = spark.createDataFrame(postings, "word string, doc_id long, tf long")
+    terms = [(q, f"w{w}", draw.choice([1.0, 1.5])) for q in range(20) for w in draw.sample(range(14), 3)]
+    frame = spark.createDataFrame(terms, "query_id long, word string, gain double")
+    config = SearchConfig(limit=5)
+    by_query = {q: [] for q in range(20)}
+    for q in range(20):
+        own = {w: g for i, w, g in terms if i == q}
+        held = {}
+        for w, d, n in postings:
+            if w in own:
+                held.setdefault(d, []).append((own[w], n))
+        for d, parts in held.items():
+            norm = config.k1 * (1 - config.b + config.b * len(parts) / 400)
+            by_query[q].append((-round(sum(g * n * (config.k1 + 1) / (n + norm) for g, n in parts), 10), d))
+    expected = {(q, d) for q, rows in by_query.items() for _, d in sorted(rows)[:5]}
+    monkeypatch.setattr(blocks, "POSTINGS_PER_BLOCK", 20)
+    for results in (10**6, 30):
+        monkeypatch.setattr(blocks, "RESULTS_PER_SLICE", results)
+        found = blocks.best_by_block(frame, tf, len(postings), 400, 5, config)
+        # Every one of the 80 blocks gave its own best documents.
+        assert found.count() <= 2 * 5 * 20 * spark.sparkContext.defaultParallelism
+        ranked = rk.top_ranked(found, 5)
+        assert {(r["query_id"], r["doc_id"]) for r in ranked.collect()} == expected
+
+
+def test_terms_past_a_broadcast_are_scored_in_blocks(spark, index, monkeypatch):
+    queries = spark.createDataFrame([(1, "red hen"), (2, "blue fox"), (3, "")], "query_id long, text string")
+    whole = [tuple(r) for r in search.search(index, queries).collect()]
+    monkeypatch.setattr(search, "BROADCAST_BYTES", 1)
+    monkeypatch.setattr(search, "search_terms", None)
+    assert whole and [tuple(r) for r in search.search(index, queries).collect()] == whole
