@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seekloom.llm.batches import as_batch, slices, texts_of
+from seekloom.llm.batches import SLICE_BYTES, as_batch, slices, texts_of
 from seekloom.llm.hashing import mix, word_hashes
 from seekloom.session import new_folder
 
@@ -139,13 +139,17 @@ _ANSWERS_ARROW = pa.schema(
 
 
 def _planes(counts: np.ndarray) -> bytes:
-    """64-bit counts as their low halves, then their high halves, which are mostly zeros."""
-    return (counts & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (counts >> np.uint64(32)).astype("<u4").tobytes()
+    """64-bit counts as their low halves, then their high halves if one is not zero."""
+    high = counts >> np.uint64(32)
+    low = (counts & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+    return low + high.astype("<u4").tobytes() if high.any() else low
 
 
-def _counts(data: bytes) -> np.ndarray:
-    low, high = np.frombuffer(data, "<u4").reshape(2, -1).astype(np.uint64)
-    return low + (high << np.uint64(32))
+def _counts(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` counts of ``_planes``."""
+    halves = np.frombuffer(data, "<u4")
+    low = halves[:n].astype(np.uint64)
+    return low if len(halves) == n else low + (halves[n:].astype(np.uint64) << np.uint64(32))
 
 
 def _hashes(data: bytes, width: int) -> np.ndarray:
@@ -232,7 +236,8 @@ def _look_up(table: pa.Table, buckets: int) -> pa.Table:
 
     def in_order(hashes: np.ndarray, parts: list[bytes]) -> np.ndarray:
         found = np.empty(len(hashes), dtype=np.uint64)
-        found[_by_bucket(hashes, buckets)[0]] = np.concatenate([_counts(p) for p in parts])
+        order, ends = _by_bucket(hashes, buckets)
+        found[order] = np.concatenate([_counts(p, n) for p, n in zip(parts, np.diff(ends).tolist(), strict=True)])
         return found
 
     word_counts = in_order(chunk.words, [data[i].as_py() for i in answers])
@@ -304,9 +309,12 @@ _SCORES_ARROW = pa.schema(
 def _score(rows: DataFrame, weights: np.ndarray, tokens: int, distinct: int) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A dozen arrays of 64-bit values stand beside the counts, so few of them are held at once.
-        for batch in slices(batches, "word_counts"):
+        for batch in slices(batches, "word_counts", SLICE_BYTES // 2):
             sizes = batch.column("n_tokens").to_numpy()
-            own, pairs = (np.concatenate([_counts(d) for d in batch.column(n).to_pylist()]) for n in ("word_counts", "pair_counts"))
+            own, pairs = (
+                np.concatenate([_counts(d, n) for d, n in zip(batch.column(c).to_pylist(), sizes.tolist(), strict=True)])
+                for c in ("word_counts", "pair_counts")
+            )
             starts = np.cumsum(sizes) - sizes
             before = np.roll(own, 1)
             # Every document ends with the end token, whose count is that of its first context.

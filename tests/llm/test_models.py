@@ -203,6 +203,13 @@ def test_lm_chances_sum_to_one():
     assert np.allclose(weights.sum(axis=1), 1) and (weights >= 0).all() and weights[0, 0] == 0
 
 
+def test_lm_counts_take_four_bytes_unless_they_are_huge():
+    small, huge = np.array([0, 7, 2**32 - 1], np.uint64), np.array([1, 2**32, 2**40 + 3], np.uint64)
+    assert len(lm_scoring._planes(small)) == 12 and len(lm_scoring._planes(huge)) == 24
+    for counts in (small, huge, small[:0]):
+        assert lm_scoring._counts(lm_scoring._planes(counts), len(counts)).tolist() == counts.tolist()
+
+
 def test_lm_without_training(edges, nothing):
     found = lm_scoring.score_documents(edges, lambda: F.lit(False)).collect()
     assert len(found) == edges.count() and all(abs(r.score) < 1e-9 and r.base_score == 0 and r.train_tokens == 0 for r in found)
