@@ -1,5 +1,6 @@
 """HTML walk, page filters, page store and summaries."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from seekloom import fixed_values as fv
@@ -160,3 +161,24 @@ def test_stored_summaries(spark):
     summaries = spark.createDataFrame([(2, "s")], "doc_id int, summary string")
     got = {tuple(r) for r in pr.documents_with_summaries(documents, summaries).collect()}
     assert got == {(1, "no summary"), (2, "s")}
+
+
+def test_fields_of_pages_leave_in_small_slices(spark):
+    class Pages:
+        """Takes the function that tasks run."""
+
+        schema = spark.createDataFrame([], "page_id long, html string").schema
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    html = [None, "", *["<title>t</title>" + "x" * (hw.SLICE_CHARS // 4)] * 9]
+    batch = pa.RecordBatch.from_pydict({"page_id": [None, *range(10)], "html": html})
+    found = list(hw.parse_pages(Pages(), "title", "blocks", "has_html")(iter([batch])))
+    assert [b.num_rows for b in found] == [6, 4, 1]
+    rows = pa.Table.from_batches(found)
+    assert rows.column("page_id").to_pylist() == [None, *range(10)]
+    assert rows.column("title").to_pylist() == [None, "", *["t"] * 9]
