@@ -152,6 +152,16 @@ def test_text_is_analysed_once_per_row(spark, folder):
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_duplicate_keys_dealt_by_key(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), (None, 2), (None, 2), ("c", None)], "k string, v int")
+    dealt = ix.duplicate_keys(rows, "k", "v", rows_per_task=1)
+    # Keys are not counted before they are dealt out, which would hold all of a task's keys.
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "HashAggregate" not in plan[plan.index("Exchange") :]
+    assert sorted(map(tuple, dealt.collect()), key=str) == [("a", 1, 2), (None, 2, 2)]
+    assert ix.duplicate_keys(rows.limit(0), "k", rows_per_task=1).isEmpty()
+
+
 def test_checks(spark, index):
     rows = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "k string, v int")
     assert [tuple(r) for r in ix.duplicate_keys(rows, "k", "v").collect()] == [("a", 1, 2)]
