@@ -1,6 +1,7 @@
 """HTML walk, page filters, page store and summaries."""
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from seekloom import fixed_values as fv
@@ -9,7 +10,7 @@ from seekloom.functions import snippets as sn
 from seekloom.operators import filters as fl
 from seekloom.operators import html as hw
 from seekloom.operators import present as pr
-from seekloom.sources.pages import one_per_link, read_pages, vectors_from_text, write_pages
+from seekloom.sources.pages import one_per_link, read_pages, spread, vectors_from_text, write_pages
 
 ALL = tuple(hw.FIELDS)
 
@@ -182,3 +183,30 @@ def test_fields_of_pages_leave_in_small_slices(spark):
     rows = pa.Table.from_batches(found)
     assert rows.column("page_id").to_pylist() == [None, *range(10)]
     assert rows.column("title").to_pylist() == [None, "", *["t"] * 9]
+
+
+def test_a_single_row_group_is_dealt_out(spark, tmp_path):
+    ids = [None, 1, 1, *range(3, 400)]
+    table = pa.table({"doc_id": ids, "text": [f"{i} {hash(str(i))} " * 20 for i in ids]})
+    pq.write_table(table, tmp_path / "one.parquet", row_group_size=len(ids))
+    pq.write_table(table, tmp_path / "many.parquet", row_group_size=25)
+    size = (tmp_path / "one.parquet").stat().st_size
+
+    def tasks(df):
+        return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size // 6)
+    try:
+        scan = spark.read.parquet(str(tmp_path / "one.parquet"))
+        assert scan.rdd.getNumPartitions() >= 4 and tasks(scan) == [len(ids)]
+        dealt = spread(scan)
+        assert len(tasks(dealt)) >= 4 and max(tasks(dealt)) < len(ids) / 3
+        assert dealt.columns == scan.columns
+        assert sorted(dealt.collect(), key=str) == sorted(scan.collect(), key=str)
+        even = spark.read.parquet(str(tmp_path / "many.parquet"))
+        assert spread(even) is even
+        empty = scan.where("doc_id < 0")
+        assert spread(empty).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
