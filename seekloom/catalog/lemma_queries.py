@@ -40,8 +40,8 @@ _LEMMAS = (
 
 def _learned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     words = document_index(spark, folder).words
-    matches = cut_lineage(sf.rule_matches(words, CONFIG))
-    return matches, sf.suffix_rules(words, matches, CONFIG)
+    matches = sf.rule_matches(words, CONFIG)
+    return matches, cut_lineage(sf.suffix_rules(words, matches, CONFIG))
 
 
 @query("suffix_rules", f"WITH {_LEMMAS} SELECT ending, replacement, n, m, round(gain, 4) AS gain FROM kept")

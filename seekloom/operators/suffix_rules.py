@@ -11,7 +11,7 @@ to its lemma, while every word with the ending has to say whether the rule holds
 entropy. Rules that fit a few words only are left out. Of the rules that fit a word, the one with
 the largest gain gives its lemma.
 
-Everything is joins and sums over the distinct words; no list of words or rules is collected.
+Everything is groups, joins and sums over the distinct words; no list of words or rules is collected.
 Null and empty words are ignored, repeated ones count once. An empty vocabulary has no rules.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seekloom.operators.joins import lookup_join
+from seekloom.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -38,26 +39,44 @@ class RuleConfig:
     min_gain: float = 0.0
 
 
-def _cuts(words: DataFrame, shortest: int, longest: int, min_stem: int, name: str) -> DataFrame:
-    """Every way to cut a word into a stem and an ending of ``shortest`` to ``longest`` letters."""
+def _endings(words: DataFrame, config: RuleConfig) -> DataFrame:
+    """Every ending of a word that leaves a stem."""
     length = F.length("word")
-    cut = words.select("word", F.explode(F.sequence(F.lit(shortest), F.lit(longest))).alias("n")).where(length - F.col("n") >= min_stem)
-    return cut.select(
-        "word", F.substring("word", F.lit(1), length - F.col("n")).alias("stem"), F.substring("word", length - F.col("n") + 1, F.col("n")).alias(name)
-    )
+    cut = words.select("word", F.explode(F.sequence(F.lit(1), F.lit(config.max_ending))).alias("n")).where(length - F.col("n") >= config.min_stem)
+    return cut.select(F.substring("word", length - F.col("n") + 1, F.col("n")).alias("ending"))
+
+
+def stem_groups(words: DataFrame, config: RuleConfig = RuleConfig()) -> DataFrame:
+    """``(stem, parts)``: stems that several words are cut to, with what the cuts left of each.
+
+    All stems of a word begin with its first ``min_stem`` letters. The words are dealt out by
+    these, one row each, so the cuts of a word meet those of others without a shuffle.
+    """
+    known = words.where("word != ''").select("word").distinct()
+    dealt = known.withColumn("first", F.substring("word", 1, config.min_stem)).repartition("first")
+    lengths = F.sequence(F.lit(0), F.least(F.length("word") - config.min_stem, F.lit(max(config.max_ending, config.max_replacement))))
+    cut = dealt.where(F.length("word") >= config.min_stem).select("first", "word", F.explode(lengths).alias("n"))
+    length = F.length("word") - F.col("n")
+    parted = cut.select("first", F.substring("word", F.lit(1), length).alias("stem"), F.substring("word", length + 1, F.col("n")).alias("part"))
+    together = parted.groupBy("first", "stem").agg(F.collect_list("part").alias("parts"))
+    return together.where(F.size("parts") > 1).select("stem", "parts")
 
 
 def rule_matches(words: DataFrame, config: RuleConfig = RuleConfig()) -> DataFrame:
     """``(surface, lemma, ending, replacement)``: all rules that fit a word of ``words(word)``.
 
-    Ending and replacement begin with different letters, so a pair of words has one rule.
+    Ending and replacement begin with different letters, so a pair of words has one rule. The
+    words are stored by stem; their pairs, which are far more, are made when they are read.
     """
-    known = words.where("word != ''").select("word").distinct()
-    surfaces = _cuts(known, 1, config.max_ending, config.min_stem, "ending").withColumnRenamed("word", "surface")
-    lemmas = _cuts(known, 0, config.max_replacement, config.min_stem, "replacement").withColumnRenamed("word", "lemma")
+    groups = cut_lineage(stem_groups(words, config))
+    endings = F.filter("parts", lambda p: F.length(p).between(1, config.max_ending))
+    replacements = F.filter("parts", lambda p: F.length(p) <= config.max_replacement)
+    one = groups.select("stem", F.explode(endings).alias("ending"), replacements.alias("others"))
+    pairs = one.select("stem", "ending", F.explode("others").alias("replacement"))
     shorter = F.length("replacement") < F.length("ending")
     minimal = F.substring("replacement", 1, 1) != F.substring("ending", 1, 1)
-    return surfaces.join(lemmas, "stem").where(shorter & minimal).select("surface", "lemma", "ending", "replacement")
+    fitting = pairs.where(shorter & minimal)
+    return fitting.select(F.concat("stem", "ending").alias("surface"), F.concat("stem", "replacement").alias("lemma"), "ending", "replacement")
 
 
 def _entropy(n: Column, m: Column) -> Column:
@@ -70,7 +89,7 @@ def suffix_rules(words: DataFrame, matches: DataFrame, config: RuleConfig = Rule
     """``(ending, replacement, n, m, gain)`` of the rules worth keeping."""
     known = words.where("word != ''").select("word").distinct()
     size = known.agg(F.count("*").alias("words"))
-    having = _cuts(known, 1, config.max_ending, config.min_stem, "ending").groupBy("ending").agg(F.count("*").alias("m"))
+    having = _endings(known, config).groupBy("ending").agg(F.count("*").alias("m"))
     fitting = matches.groupBy("ending", "replacement").agg(F.count("*").alias("n"), F.sum(F.length("surface")).alias("letters"))
     n, m = F.col("n"), F.col("m")
     saved = F.col("letters") * config.bits_per_letter - n * F.log2(size.scalar())

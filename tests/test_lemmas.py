@@ -86,3 +86,16 @@ def test_words_of_documents(spark, folder):
 def test_edges(spark):
     assert check(spark, {"tables", "table"}, [None, "", "table", "table", "tables"]) == {}
     assert [f.count() for f in learned(spark, [])] == [0, 0, 0]
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_words_are_made_when_read(spark):
+    words = {"stem" + a + b for a in "abcdefgh" for b in ("", *"abcdefgh")} | {"stem"}
+    check(spark, words)
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    assert not any(step in plan_of(sf.rule_matches(frame)) for step in ("Join", "Exchange"))
+    assert sf.stem_groups(frame).count() == 9
+    assert sf.rule_matches(frame).count() == len(matches_of(words)) > 500
