@@ -4,7 +4,7 @@ import math
 from collections import defaultdict
 
 from seekloom.operators import suffix_rules as sf
-from seekloom.operators.lemmas import plural_lemmas
+from seekloom.operators.lemmas import lemmatize_terms, plural_lemmas
 
 CONFIG = sf.RuleConfig()
 
@@ -99,3 +99,12 @@ def test_pairs_of_words_are_made_when_read(spark):
     assert not any(step in plan_of(sf.rule_matches(frame)) for step in ("Join", "Exchange"))
     assert sf.stem_groups(frame).count() == 9
     assert sf.rule_matches(frame).count() == len(matches_of(words)) > 500
+
+
+def test_postings_are_dealt_out_before_they_are_summed(spark):
+    tf = spark.createDataFrame([("tables", 1, 2), ("table", 1, 1), ("tables", 2, 1), ("chair", 2, 4)], "word string, doc_id long, tf long")
+    lemmas = spark.createDataFrame([("tables", "table")], "surface string, lemma string")
+    merged = lemmatize_terms(tf, lemmas)
+    before, dealt, _ = plan_of(merged).partition("REPARTITION_BY_COL")
+    assert dealt and "partial_sum" in before
+    assert sorted(map(tuple, merged.collect())) == [("chair", 2, 4), ("table", 1, 3), ("table", 2, 1)]
