@@ -362,3 +362,34 @@ def test_terms_past_a_broadcast_are_scored_in_blocks(spark, index, monkeypatch):
     monkeypatch.setattr(search, "BROADCAST_BYTES", 1)
     monkeypatch.setattr(search, "search_terms", None)
     assert whole and [tuple(r) for r in search.search(index, queries).collect()] == whole
+
+
+def test_all_scores_in_blocks_equal_join(spark, monkeypatch):
+    draw = random.Random(5)
+    postings = sorted({(f"w{draw.randrange(30)}", draw.randrange(60)) for _ in range(700)})
+    rows = [(w, d if d else None, 1 + draw.randrange(4)) for w, d in postings]
+    tf = spark.createDataFrame(rows, "word string, doc_id long, tf long").repartition(3)
+    queries = [(q, f"w{w}", draw.random()) for q in range(9) for w in draw.sample(range(32), 5)]
+    terms = spark.createDataFrame(queries, "query_id long, word string, gain double")
+    joined = rk.document_scores(rk.postings_of(terms, tf, True), F.lit(60))
+    expected = {(r["query_id"], r["doc_id"]): round(r["score"], 9) for r in joined.collect()}
+    assert any(d is None for _, d in expected)
+    monkeypatch.setattr(blocks, "RESULTS_PER_BATCH", 10)
+    for per_block, per_slice in ((1_000_000, 1_000_000), (50, 10)):
+        monkeypatch.setattr(blocks, "POSTINGS_PER_BLOCK", per_block)
+        monkeypatch.setattr(blocks, "TERMS_PER_SLICE", per_slice)
+        found = blocks.all_by_block(terms, tf, len(postings), 60, SearchConfig()).collect()
+        assert len(found) == len(expected)
+        assert {(r["query_id"], r["doc_id"]): round(r["score"], 9) for r in found} == expected
+    assert blocks.all_by_block(terms.limit(0), tf, 0, 60, SearchConfig()).count() == 0
+
+
+def test_scores_of_many_terms_are_not_shuffled(spark, index, monkeypatch):
+    terms = spark.createDataFrame([(7, "red", 4.0), (7, "hen", 1.0), (8, "red", 1.0)], "query_id long, word string, weight double")
+    few = search.score_terms(index, terms).collect()
+    monkeypatch.setattr(search, "_FEW_BYTES", 0)
+    many = search.score_terms(index, terms)
+    exchanges = [line for line in many._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("query_id" in line for line in exchanges)
+    rounded = lambda rows: sorted((r["query_id"], r["doc_id"], round(r["score"], 9)) for r in rows)
+    assert rounded(many.collect()) == rounded(few)
