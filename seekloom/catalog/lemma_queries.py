@@ -61,5 +61,5 @@ def induced_lemmas(spark: SparkSession, folder: str) -> DataFrame:
 def term_frequencies_by_induced_lemmas(spark: SparkSession, folder: str) -> DataFrame:
     """Postings by learned lemma."""
     tf = document_index(spark, folder).tf.select("word", "doc_id", "tf")
-    found = lemmatize_terms(tf, cut_lineage(sf.induced_lemmas(*_learned(spark, folder))))
+    found = lemmatize_terms(tf, cut_lineage(sf.induced_lemmas(*_learned(spark, folder))), rows_per_task=1_000_000)
     return found.withColumn("tf", F.col("tf").cast("long"))

@@ -108,3 +108,6 @@ def test_postings_are_dealt_out_before_they_are_summed(spark):
     before, dealt, _ = plan_of(merged).partition("REPARTITION_BY_COL")
     assert dealt and "partial_sum" in before
     assert sorted(map(tuple, merged.collect())) == [("chair", 2, 4), ("table", 1, 3), ("table", 2, 1)]
+    few = lemmatize_terms(tf, lemmas, rows_per_task=2)
+    assert "REPARTITION_BY_NUM" in plan_of(few) and few.rdd.getNumPartitions() == 2
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, merged.collect()))
