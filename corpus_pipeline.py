@@ -2,7 +2,9 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and gives a DataFrame, which is written as Parquet
 and read again as the next stage's ``docs``. When a stage is called, the result of the one
-before it has been written, so what that one stored on the way is deleted then.
+before it has been written, so what that one stored on the way is deleted then. From the first
+one on, the session hands rows to Python workers in small batches, as the workers of a stage
+keep their memory in the next ones; ``run`` puts the setting back at the end.
 
 Documents with null or empty text have no letter and leave in the first stage. Repeated rows
 leave in the third. Other columns are kept up to the last stage. An empty table stays empty.
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from seekloom.llm import exact_dedup, language_id, near_dedup, packing, quality
 from seekloom.llm.queries import TOKENIZER, labelled_languages, quality_labels
-from seekloom.session import new_folder, remove_folder, scratch
+from seekloom.session import BATCH_BYTES, BATCH_KEY, new_folder, remove_folder, scratch, small_batches
 
 #: Documents with a lower probability of good quality are rejected.
 MIN_QUALITY = 0.5
@@ -29,12 +31,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def stage(function: Stage) -> Stage:
-    """Keep what a stage stores until the next one is called."""
+    """Keep what a stage stores until the next one is called, and bound the batches it gives to Python."""
 
     @functools.wraps(function)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         while _stored:
             remove_folder(spark, _stored.pop())
+        # Its result is run by the caller, so the setting has to last.
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
         with scratch(spark, function.__name__, delete=False) as folder:
             _stored.append(folder)
             return function(spark, docs, sf_dir)
@@ -91,11 +95,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each from what the one before has written."""
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for name, function in STAGES:
-        path = new_folder(spark, name)
-        function(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        if before:
-            remove_folder(spark, before)
-        before = path
+    with small_batches(spark):
+        for name, function in STAGES:
+            path = new_folder(spark, name)
+            function(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if before:
+                remove_folder(spark, before)
+            before = path
     return docs

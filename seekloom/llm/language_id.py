@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seekloom.llm.batches import release_unused
 from seekloom.llm.samples import least_hashed
 
 #: Bounds of the labelled sample: rows of a language, bytes of a row, bytes of a language.
@@ -212,6 +213,7 @@ def language_of(text: Column, samples: dict[str, bytes]) -> Column:
         for texts in series:
             found, scores = own.judge(texts.where(texts.notna(), None).tolist())
             yield pd.DataFrame({"lang": found, "score": scores})
+        release_unused()
 
     return judge(text.cast("string"))
 

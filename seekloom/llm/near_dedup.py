@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from seekloom.llm.batches import as_batch, slices, texts_of
 from seekloom.llm.hashing import mix, word_hashes
 from seekloom.operators.joins import fits_broadcast, lookup_join
-from seekloom.session import cut_lineage, scratch, scratched
+from seekloom.session import cut_lineage, scratch, scratched, small_batches
 
 MINIMA = 128
 BAND_ROWS = 4
@@ -51,7 +51,9 @@ FLIP_LONGS = 16
 #: Members from which on a bucket is large.
 LARGE = 32
 ELEMENTS_PER_TASK = 4_000_000
-_SLICE_BYTES = 1024 * 1024
+#: Bytes of texts, and of differences, that are worked on at once.
+_SLICE_BYTES = 256 * 1024
+_APART_BYTES = 1024 * 1024
 _MEMBER = [(n, pa.int64()) for n in ("region", "rep", "centre", "component")] + [("flips", pa.list_(pa.int64()))]
 _FACTS = [*_MEMBER, ("size", pa.int64()), ("n_apart", pa.int64()), ("linked", pa.bool_())]
 _COMPARED = pa.schema([*_FACTS, ("apart", pa.binary())])
@@ -278,7 +280,7 @@ def _common_elements(compared: DataFrame) -> DataFrame:
     ranges = 1 + (compared.agg(F.sum("n_apart")).first()[0] or 0) // ELEMENTS_PER_TASK
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "apart", _SLICE_BYTES):
+        for batch in slices(batches, "apart", _APART_BYTES):
             sizes = batch.column("n_apart").to_numpy()
             hashes = np.frombuffer(b"".join(batch.column("apart").to_pylist()), "<u8")
             owners = [np.repeat(batch.column(n).to_numpy(), sizes) for n in ("region", "rep")]
@@ -410,13 +412,15 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     Two documents are linked when their sets have a Jaccard similarity of ``percent`` or more.
     ``component_id`` is the smallest ``doc_id`` reachable over links; that document is kept.
     """
+    spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = cut_lineage(signed(docs, words))
     sets = ["set_low", "set_high", "n_shingles"]
-    filled = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = cut_lineage(filled.groupBy(*sets).agg(F.min("doc_id").alias("rep")))
-    with scratch(documents.sparkSession):
-        found = cut_lineage(_components_of_classes(filled, classes, docs, words, percent), up=1)
+    with small_batches(spark):
+        rows = cut_lineage(signed(docs, words))
+        filled = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        classes = cut_lineage(filled.groupBy(*sets).agg(F.min("doc_id").alias("rep")))
+        with scratch(spark):
+            found = cut_lineage(_components_of_classes(filled, classes, docs, words, percent), up=1)
     found = found.select(F.col("node").alias("rep"), "component")
     own = rows.select("doc_id", *sets).join(classes, sets, "left").join(found, "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))

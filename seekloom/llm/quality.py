@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seekloom.llm.batches import release_unused
 from seekloom.llm.samples import least_hashed
 
 BLOCK = 256
@@ -211,5 +212,6 @@ def quality_score(text: Column, model: Model) -> Column:
     def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in series:
             yield pd.Series(score_texts(model, texts.where(texts.notna(), None).tolist()))
+        release_unused()
 
     return score(text.cast("string"))

@@ -5,14 +5,16 @@ import contextlib
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from seekloom.llm import exact_dedup, fingerprints, near_dedup
-from seekloom.llm.hashing import mix, range_hashes
+from seekloom.llm.hashing import KEPT_POWERS, mix, range_hashes, word_hashes
 from seekloom.llm.queries import half_replaced
+from seekloom.session import BATCH_BYTES, BATCH_KEY, cut_lineage
 
 
 def plain(text):
@@ -179,6 +181,37 @@ def test_drop_near_duplicates_keeps_columns(edges):
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, [1, 2, 3, 4, 5, 9, 11, 12, 13, 14, None, None]))
 
 
+def test_near_duplicates_get_small_batches(spark, monkeypatch):
+    """Long texts do not reach a worker in batches of Spark's 64 MB."""
+    cut = near_dedup.slices
+
+    def checked(batches, column, max_bytes):
+        for batch in batches:
+            assert batch.nbytes < 3 * BATCH_BYTES or batch.num_rows == 1
+            yield from cut(iter([batch]), column, max_bytes)
+
+    monkeypatch.setattr(near_dedup, "slices", checked)
+    before = spark.conf.get(BATCH_KEY)
+    words = F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.concat(F.lit("w"), i * (F.col("id") % 6 + 1)))
+    docs = spark.range(24, numPartitions=1).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text"))
+    rows = near_dedup.near_duplicates(cut_lineage(docs.withColumn("text", F.repeat(F.concat("text", F.lit(" ")), 4)).coalesce(1))).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {i: i % 6 for i in range(24)}
+    assert spark.conf.get(BATCH_KEY) == before
+
+
+def test_powers_of_few_sizes_are_kept():
+    """A worker keeps one table of bounded size; hashes do not depend on it."""
+    texts = [b"some words " * n for n in (9, 2**17, 2**19, 9)]
+    tracemalloc.start()
+    found = [word_hashes([t])[0] for t in texts]
+    first = [f[:2].tolist() for f in found]
+    del found
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert first[1:] == first[:-1]
+    assert held < 2 * 8 * KEPT_POWERS + 2**20
+
+
 def test_components(spark):
     links = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (20, 21), (22, 21), (7, 7)], "a long, b long")
     assert {r.node: r.component for r in near_dedup.components(links).collect()} == {3: 3, 4: 3, 5: 3, 9: 3, 20: 20, 21: 20, 22: 20}

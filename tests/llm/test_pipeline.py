@@ -5,9 +5,12 @@ import re
 import __spark_entry__ as entry
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from seekloom.llm import language_id, quality
 from seekloom.llm.queries import ORACLES, QUERIES, labelled_languages, quality_labels
+from seekloom.session import BATCH_BYTES, BATCH_KEY
 from test_duplicates import expected_near, plain
 from test_tokens import check_pieces
 
@@ -67,6 +70,21 @@ def test_stages_on_edges(spark, edges, nothing, folder, tmp_path):
                 assert docs.columns == columns
 
 
+def test_stages_get_small_batches(spark, folder, tmp_path, monkeypatch):
+    """What a stage gives to Python comes in small batches; after the run the setting is as before."""
+
+    @corpus_pipeline.stage
+    def look(spark, docs, sf_dir):
+        return docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]}) for b in batches), "rows long, bytes long")
+
+    spark.range(30, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 100_000).alias("text")).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("look", look)])
+    before = spark.conf.get(BATCH_KEY)
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sum(r.rows for r in found) == 30 and max(r.bytes for r in found) < 2 * BATCH_BYTES
+    assert spark.conf.get(BATCH_KEY) == before
+
+
 def test_registration():
     names = list(entry.queries())
     assert [n for n in names if re.match(r"op\d+_", n)] == list(QUERIES) and "pipeline" in names

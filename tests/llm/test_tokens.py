@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from seekloom.llm import packing, piece_sampling, token_files, tokens
+from seekloom.llm.hashing import mix
 from seekloom.llm.queries import PIECES, TOKENIZER
 
 library = Tokenizer.from_file(TOKENIZER)
@@ -171,3 +172,18 @@ def test_sampled_pieces_depend_on_key_and_seed_alone(edges, documents):
 
 def test_sampled_pieces_of_nothing(nothing):
     assert piece_sampling.encode_sampled(nothing, PIECES).collect() == []
+
+
+def test_known_words_grow():
+    """The table is small for few words; words are found after it has grown and after some were forgotten."""
+    known = tokens.KnownWords(40_000)
+    assert known.slots.nbytes < 2**16
+    hashes = mix(np.arange(60_000, dtype=np.uint64))
+    for part in np.array_split(hashes, 7):
+        assert (known.find(part) < 0).all()
+        known.add(part, np.arange(2 * len(part)), np.full(len(part), 2))
+    assert known.find(hashes).tolist() == list(range(60_000))
+    assert len(known.slots) >= 4 * known.count
+    known.hits[20_000:60_000] = 2
+    known.forget()
+    assert (known.find(hashes[20_000:40_000]) >= 0).all() and known.count == 20_000
