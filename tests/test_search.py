@@ -393,3 +393,65 @@ def test_scores_of_many_terms_are_not_shuffled(spark, index, monkeypatch):
     assert not any("query_id" in line for line in exchanges)
     rounded = lambda rows: sorted((r["query_id"], r["doc_id"], round(r["score"], 9)) for r in rows)
     assert rounded(many.collect()) == rounded(few)
+
+
+def _drawn(spark, n_docs, n_words, n_queries):
+    draw = random.Random(6)
+    postings = [(f"w{w}", d, draw.choice([1, 1, 2, 300])) for d in range(n_docs) for w in {min(int(draw.expovariate(0.15)), n_words - 1) for _ in range(draw.randrange(1, 12))}]
+    terms = [(q, f"w{w}", 0.3 + draw.random() * (1 + w)) for q in range(n_queries) for w in draw.sample(range(n_words), 6)]
+    tf = spark.createDataFrame(postings, "word string, doc_id long, tf long")
+    return tf, spark.createDataFrame(terms, "query_id long, word string, gain double"), len(postings)
+
+
+def test_terms_that_are_left_for_later_change_no_result(spark, monkeypatch):
+    """Blocks after the first one add up few terms; what can reach the floor is scored as a whole."""
+    tf, terms, n = _drawn(spark, 900, 30, 25)
+    plain = rk.document_scores(rk.postings_of(terms, tf, True), F.lit(900), SearchConfig())
+    expected = {(r["query_id"], r["rank"]): (r["doc_id"], round(r["score"], 9)) for r in rk.top_ranked(plain, 7).collect()}
+    left = []
+    reaching = blocks.Queries._reaching
+
+    def counted(self, block, *rest):
+        for part in reaching(self, block, *rest):
+            left.append(len(part[0]))
+            yield part
+
+    monkeypatch.setattr(blocks, "POSTINGS_PER_BLOCK", 100)
+    monkeypatch.setattr(blocks, "POSTINGS_AT_ONCE", 300)
+    for table_bytes in (1, 10**6):
+        monkeypatch.setattr(blocks, "_TABLE_BYTES", table_bytes)
+        found = rk.top_ranked(blocks.best_by_block(terms, tf, n, 900, 7, SearchConfig()), 7)
+        assert {(r["query_id"], r["rank"]): (r["doc_id"], round(r["score"], 9)) for r in found.collect()} == expected
+    # In one process, to see how many documents of the later blocks were scored at all.
+    words = blocks.pc.unique(terms.toArrow().column("word"))
+    queries = blocks.Queries(terms.toArrow(), words)
+    rows = tf.toArrow().filter(blocks.pc.is_in(tf.toArrow().column("word"), value_set=words))
+    numbers = blocks.pc.index_in(rows.column("word"), value_set=words).to_numpy()
+    packed = list(blocks._pack(numbers, rows.column("doc_id").to_numpy(), rows.column("tf").to_numpy()))
+    best = blocks.Best(len(queries.ids), 7)
+    monkeypatch.setattr(blocks.Queries, "_reaching", counted)
+    scored = []
+    for block in blocks._together(iter(packed), len(words)):
+        left.clear()
+        best.add(queries.best(block, 900, 7, SearchConfig(), best.floors))
+        scored.append(sum(left) / len(block.doc_ids) / len(queries.ids))
+    assert len(scored) > 5 and max(scored[-3:]) < 0.1
+
+
+def test_slices_of_queries_read_the_postings_once(spark, monkeypatch):
+    tf, terms, n = _drawn(spark, 200, 20, 12)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(blocks, "TERMS_PER_SLICE", 20)
+    counted = tf.mapInArrow(count, tf.schema)
+    for ask, *limit in ((blocks.best_by_block, 5), (blocks.all_by_block,)):
+        scores = ask(terms, counted, n, 200, *limit, SearchConfig())
+        assert len({r["query_id"] for r in scores.collect()}) == 12
+        # Every slice of queries shuffled all postings again.
+        assert read.value == n
+        read.value = 0
