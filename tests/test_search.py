@@ -436,6 +436,8 @@ def test_terms_that_are_left_for_later_change_no_result(spark, monkeypatch):
         best.add(queries.best(block, 900, 7, SearchConfig(), best.floors))
         scored.append(sum(left) / len(block.doc_ids) / len(queries.ids))
     assert len(scored) > 5 and max(scored[-3:]) < 0.1
+    held = {(queries.ids[int(q)].as_py(), d): round(s, 9) for q, d, s in zip(*(part.tolist() for part in best.cut()), strict=True)}
+    assert all(held[q, d] == score for (q, _), (d, score) in expected.items()) and len(held) < 2 * len(expected)
 
 
 def test_slices_of_queries_read_the_postings_once(spark, monkeypatch):

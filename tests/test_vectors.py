@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seekloom.operators import expand as ex
 from seekloom.operators import word_vectors as wv
+from seekloom.session import cut_lineage
 
 CONFIG = wv.VectorConfig(window=2, min_count=1, dimensions=6, spare=20, rounds=12)
 
@@ -129,3 +130,38 @@ def test_partial_rows_grow_with_the_root_of_the_tiles(spark):
     for blocks in (1, 5, 16):
         found = {r["number"]: r["values"] for r in wv.multiplied(entries, block, blocks).collect()}
         assert np.allclose([found[i] for i in range(40)], values @ dense)
+
+
+def _disk_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return manager.getAllFiles().size()
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    """They stayed until the driver collected its garbage, so every step of a factorisation added to them."""
+    sums = spark.range(1000).groupBy((F.col("id") % 300).alias("k")).count()
+    before = _disk_files(spark)
+    stored = cut_lineage(sums)
+    assert stored.count() == 300
+    assert sum(r["count"] for r in sums.collect()) == 1000
+    stored = cut_lineage(stored.repartition(5, "k"))
+    cut_lineage(stored.groupBy("k").agg(F.sum("count")))
+    files = _disk_files(spark)
+    cut_lineage(stored.repartition(7, "k"))
+    assert _disk_files(spark) <= files
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) != "true" and before >= 0
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 10**6])
+def test_pairs_are_counted_by_texts_not_one_by_one(spark, monkeypatch, at_once):
+    draw = random.Random(8)
+    texts = [[f"w{draw.randrange(9)}" for _ in range(draw.randrange(12))] for _ in range(40)] + [["é", "z", "é"], [], None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, tokens array<string>")
+    monkeypatch.setattr(wv, "TOKENS_AT_ONCE", at_once)
+    expected = plain_counts([t for t in texts if t], 3)
+    assert {(r["word"], r["context"]): r["n"] for r in wv.cooccurrences(frame, 3).collect()} == dict(expected)
+    stored = wv.cooccurrences(frame, 3, store=True)
+    assert {(r["word"], r["context"]): r["n"] for r in stored.collect()} == dict(expected)
+    # Each pair was stored in both directions, and a row was made for each pair of places.
+    assert spark.read.parquet(*stored.inputFiles()).count() == len({frozenset(pair) for pair in expected})
+    assert "explode(slice" not in wv.cooccurrences(frame, 3)._jdf.queryExecution().executedPlan().toString()
